@@ -1,10 +1,11 @@
-"""The queries of the tokenizer."""
+"""The queries of the classifier and the tokenizer."""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from tessera.llm import bpe
+from tessera.llm import bpe, toxicity
 
 #: A vocabulary file of a public tokenizer; the path is a parameter.
 VOCABULARY = "word_bpe_49k.json"
@@ -19,3 +20,14 @@ def vocabulary() -> str:
 def op5_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     return bpe.encode_digests(docs, vocabulary())
+
+
+#: A text is toxic from this score on.
+TOXIC = 0.3
+
+
+def op1_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    model = toxicity.train(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
+    scored = toxicity.with_score(docs.select("doc_id", "text"), model)
+    return scored.select("doc_id", toxicity.is_held_out(F.col("doc_id")).alias("held_out"), "score", (F.col("score") >= TOXIC).cast("int").alias("predicted"))
