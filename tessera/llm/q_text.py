@@ -1,11 +1,11 @@
-"""The queries of the classifier and the tokenizer."""
+"""The queries of the classifier, the extractor and the tokenizer."""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tessera.llm import bpe, toxicity
+from tessera.llm import bpe, html_text, toxicity
 
 #: A vocabulary file of a public tokenizer; the path is a parameter.
 VOCABULARY = "word_bpe_49k.json"
@@ -31,3 +31,8 @@ def op1_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     model = toxicity.train(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
     scored = toxicity.with_score(docs.select("doc_id", "text"), model)
     return scored.select("doc_id", toxicity.is_held_out(F.col("doc_id")).alias("held_out"), "score", (F.col("score") >= TOXIC).cast("int").alias("predicted"))
+
+
+def op3_main_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    texts = html_text.extract(spark.read.parquet(f"{sf_dir}/pages.parquet"))
+    return texts.select("page_id", "url", "text", F.length("text").cast("long").alias("n_chars"))
