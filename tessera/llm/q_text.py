@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tessera.llm import bpe, html_text, toxicity
+from tessera.llm import bpe, html_text, lm, toxicity
 
 #: A vocabulary file of a public tokenizer; the path is a parameter.
 VOCABULARY = "word_bpe_49k.json"
@@ -36,3 +36,9 @@ def op1_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op3_main_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     texts = html_text.extract(spark.read.parquet(f"{sf_dir}/pages.parquet"))
     return texts.select("page_id", "url", "text", F.length("text").cast("long").alias("n_chars"))
+
+
+def op2_maxent_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    held = F.coalesce(F.pmod(F.crc32(F.encode(docs["doc_id"].cast("string"), "UTF-8")), F.lit(10)) == 0, F.lit(False))
+    return lm.score(docs, held)
