@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tessera.llm import bpe, html_text, lm, toxicity
+from tessera.llm import bpe, html_text, lm, neardup, toxicity
 
 #: A vocabulary file of a public tokenizer; the path is a parameter.
 VOCABULARY = "word_bpe_49k.json"
@@ -42,3 +42,7 @@ def op2_maxent_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     held = F.coalesce(F.pmod(F.crc32(F.encode(docs["doc_id"].cast("string"), "UTF-8")), F.lit(10)) == 0, F.lit(False))
     return lm.score(docs, held)
+
+
+def op6_chosen_path(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return neardup.near_duplicates(spark.read.parquet(f"{sf_dir}/documents.parquet"), words=4, share=80)

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from tessera.llm import chat, mixing, sharding
 from tessera.llm.q_media import op7_tiff_pages
-from tessera.llm.q_text import op1_toxicity, op2_maxent_lm, op3_main_text, op5_bpe
+from tessera.llm.q_text import op1_toxicity, op2_maxent_lm, op3_main_text, op5_bpe, op6_chosen_path
 from tessera.llm.q_vectors import op4_hnsw
 
 
@@ -86,5 +86,5 @@ SELECT conv_id, count(*) AS n_turns,
 FROM r GROUP BY conv_id
 """
 
-QUERIES = {"op1_toxicity": op1_toxicity, "op2_maxent_lm": op2_maxent_lm, "op3_main_text": op3_main_text, "op4_hnsw": op4_hnsw, "op5_bpe": op5_bpe, "op7_tiff_pages": op7_tiff_pages, "op8_kd_shards": op8_kd_shards, "op9_mix": op9_mix, "op10_chat": op10_chat}
+QUERIES = {"op1_toxicity": op1_toxicity, "op2_maxent_lm": op2_maxent_lm, "op3_main_text": op3_main_text, "op4_hnsw": op4_hnsw, "op5_bpe": op5_bpe, "op6_chosen_path": op6_chosen_path, "op7_tiff_pages": op7_tiff_pages, "op8_kd_shards": op8_kd_shards, "op9_mix": op9_mix, "op10_chat": op10_chat}
 ORACLES = {"op9_mix": OP9_SQL, "op10_chat": OP10_SQL}
