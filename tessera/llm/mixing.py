@@ -43,7 +43,7 @@ def source_targets(sizes: DataFrame, weights: tuple[float, ...], cap: float) ->
     before = F.coalesce(F.sum("_cap").over(fill.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0.0))
     rest = F.sum("_w").over(fill.rowsBetween(Window.currentRow, Window.unboundedFollowing))
     s = s.withColumn("_level", (F.sum("source_size").over(every) - before) / rest)
-    s = s.withColumn("_t", F.min(F.when(F.col("_level") * F.col("_w") <= F.col("_cap"), F.col("_level"))).over(every))
+    s = s.withColumn("_t", F.max(F.when(F.col("_level") * F.col("_w") <= F.col("_cap"), F.col("_level"))).over(every))
     return s.select("source", "source_size", F.coalesce(F.least("_cap", F.col("_t") * F.col("_w")), F.col("_cap")).alias("target"))
 
 

@@ -41,7 +41,7 @@ s AS (SELECT source, CAST(sum(size) AS BIGINT) AS source_size, CAST(3 * sum(size
     CAST((row_number() OVER (ORDER BY source NULLS LAST) - 1) % 3 + 1 AS DOUBLE) AS w FROM d GROUP BY source),
 l AS (SELECT *, (sum(source_size) OVER () - coalesce(sum(cap) OVER (ORDER BY cap / w, source NULLS LAST ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0))
     / sum(w) OVER (ORDER BY cap / w, source NULLS LAST ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING) AS level FROM s),
-t AS (SELECT source, source_size, coalesce(least(cap, w * min(CASE WHEN level * w <= cap THEN level END) OVER ()), cap) AS target FROM l),
+t AS (SELECT source, source_size, coalesce(least(cap, w * max(CASE WHEN level * w <= cap THEN level END) OVER ()), cap) AS target FROM l),
 r AS (SELECT d.*, t.source_size, t.target, CASE WHEN t.source_size > 0 THEN floor(t.target / t.source_size) ELSE 0 END AS epochs,
     sum(size) OVER (PARTITION BY d.source ORDER BY k, doc_id, size) AS run
   FROM d JOIN t ON d.source IS NOT DISTINCT FROM t.source)
@@ -86,5 +86,12 @@ SELECT conv_id, count(*) AS n_turns,
 FROM r GROUP BY conv_id
 """
 
-QUERIES = {"op1_toxicity": op1_toxicity, "op2_maxent_lm": op2_maxent_lm, "op3_main_text": op3_main_text, "op4_hnsw": op4_hnsw, "op5_bpe": op5_bpe, "op6_chosen_path": op6_chosen_path, "op7_tiff_pages": op7_tiff_pages, "op8_kd_shards": op8_kd_shards, "op9_mix": op9_mix, "op10_chat": op10_chat}
+
+def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import corpus_pipeline
+
+    return corpus_pipeline.run(spark, sf_dir)
+
+
+QUERIES = {"pipeline": pipeline, "op1_toxicity": op1_toxicity, "op2_maxent_lm": op2_maxent_lm, "op3_main_text": op3_main_text, "op4_hnsw": op4_hnsw, "op5_bpe": op5_bpe, "op6_chosen_path": op6_chosen_path, "op7_tiff_pages": op7_tiff_pages, "op8_kd_shards": op8_kd_shards, "op9_mix": op9_mix, "op10_chat": op10_chat}
 ORACLES = {"op9_mix": OP9_SQL, "op10_chat": OP10_SQL}
