@@ -2,5 +2,7 @@
 
 from __future__ import annotations
 
-QUERIES: dict = {}
-ORACLES: dict[str, str] = {}
+from tessera.plans import cohort_queries, quality_queries, text_queries  # noqa: F401  they register
+from tessera.plans.registry import ORACLES, QUERIES
+
+__all__ = ["ORACLES", "QUERIES"]
