@@ -308,7 +308,7 @@ def components(edges: DataFrame) -> DataFrame:
     return star.unionByName(now.select(F.col("v").alias("rep"), F.col("v").alias("comp")).distinct())
 
 
-def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", words: int = 5, share: int = 80, trees: int = 8, small: int = 64, branch: int = 2, depth: int = 3) -> DataFrame:
+def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", words: int = 5, share: int = 80, trees: int = 8, small: int = BLOCK, branch: int = 2, depth: int = 2) -> DataFrame:
     """doc_id, n_shingles, component_id, kept for each row of docs. share: least similarity in percent."""
     sets = stored(sketch(docs, id_col, text_col, words))
     some = sets.where("n > 0 AND doc_id IS NOT NULL")
