@@ -15,10 +15,18 @@ from tessera.llm.q_text import TOXIC, vocabulary
 from tessera.llm.queries import label_quality
 
 
+def fresh(docs: DataFrame, name: str) -> str:
+    """name, or a longer one where docs has such a column already."""
+    while name.lower() in map(str.lower, docs.columns):
+        name += "_"
+    return name
+
+
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents scored under the threshold; rows without an id are scored like all others."""
     model = toxicity.train(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
-    return toxicity.with_score(docs, model, out="_toxicity").where(F.col("_toxicity") < TOXIC).drop("_toxicity")
+    own = fresh(docs, "toxicity")
+    return toxicity.with_score(docs, model, out=own).where(F.col(own) < TOXIC).drop(own)
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -31,11 +39,12 @@ def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Each document as many times as the mix takes it; only documents it takes stay."""
-    taken = mixing.mix(docs, quality=label_quality(spark, sf_dir)).groupBy("doc_id").agg(F.max("copies").alias("_copies"))
-    taken = stored(taken.where("_copies > 0"))
+    own = fresh(docs, "copies")
+    taken = mixing.mix(docs, quality=label_quality(spark, sf_dir)).groupBy(F.col("doc_id").alias("id")).agg(F.max("copies").alias(own))
+    taken = stored(taken.where(F.col(own) > 0))
     few = taken.count() <= neardup.SENT_ROWS
-    kept = docs.join(F.broadcast(taken) if few else taken, "doc_id")
-    return kept.withColumn("_copies", F.explode(F.sequence(F.lit(1), "_copies"))).select(docs.columns)
+    kept = docs.join(F.broadcast(taken) if few else taken, docs["doc_id"].eqNullSafe(taken["id"]))
+    return kept.withColumn(own, F.explode(F.sequence(F.lit(1), own))).select(docs.columns)
 
 
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
