@@ -29,7 +29,7 @@ def digest_tree(rows: DataFrame, columns: list[str], path: str = "path", digits:
     """n, digest: sha256 over the digests of parts, by the first hex digits of each path's sha256: no task has all rows."""
     j = rows.select(F.substring(F.sha2(F.col(path), 256), 1, digits).alias("_g"), F.col(path).alias("_p"), entry_json(*columns).alias("_j"))
     parts = j.groupBy("_g").agg(F.count("*").alias("n"), F.sha2(F.expr("listagg(_j, ',') WITHIN GROUP (ORDER BY _p, _j)"), 256).alias("d"))
-    return parts.agg(F.sum("n").cast("long").alias("n"), F.sha2(F.coalesce(F.expr("listagg(_g || d, ',') WITHIN GROUP (ORDER BY _g)"), F.lit("")), 256).alias("digest"))
+    return parts.agg(F.coalesce(F.sum("n"), F.lit(0)).cast("long").alias("n"), F.sha2(F.coalesce(F.expr("listagg(_g || d, ',') WITHIN GROUP (ORDER BY _g)"), F.lit("")), 256).alias("digest"))
 
 
 def verify_files(entries: DataFrame, files: DataFrame) -> DataFrame:

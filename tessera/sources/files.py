@@ -37,7 +37,7 @@ def write_jsonl(df: DataFrame, path: str) -> None:
 
 def read_reports(spark: SparkSession, root: str) -> DataFrame:
     """source, site_id, stem, text of <root>/<site>/reports/*.txt, a row a file."""
-    files = spark.read.option("wholetext", True).option("recursiveFileLookup", True).option("pathGlobFilter", "*.txt").text(root).withColumn("source", F.input_file_name())
+    files = spark.read.text(root, wholetext=True, recursiveFileLookup=True, pathGlobFilter="*.txt").withColumn("source", F.input_file_name())
     at = r"/([^/]+)/reports/(?:.*/)?([^/]+)\.txt$"
     return files.select("source", F.regexp_extract("source", at, 1).alias("site_id"), F.regexp_extract("source", at, 2).alias("stem"), F.col("value").alias("text")).where("site_id != ''")
 
