@@ -148,18 +148,44 @@ def _keeps_title(node: Node) -> bool:
     return False
 
 
+def _chars(node: Node) -> int:
+    n, todo = 0, [node]
+    while todo:
+        x = todo.pop()
+        n += sum(len("".join(k.split())) for k in x.kids if isinstance(k, str))
+        todo += [k for k in x.kids if isinstance(k, Node) and k.tag not in DROP]
+    return n
+
+
+def _holds_article(node: Node) -> bool:
+    """Whether an element holds the article: names like "has-sidebar" mark wrappers, too."""
+    todo = [node]
+    while todo:
+        y = todo.pop()
+        if y.tag in ("article", "main") and not y.marked:
+            return True
+        todo += [k for k in y.kids if isinstance(k, Node) and k.tag not in DROP]
+    return False
+
+
 def prune(root: Node) -> None:
-    todo = [root]
+    """Takes out what isn't article text: by tag, or by its marks unless it holds the article or its headline, or, on a page
+    without an article element, most of the text."""
+    todo, every = [root], 0
+    told = _holds_article(root)
     while todo:
         x = todo.pop()
         kids = []
         for k in x.kids:
             if isinstance(k, Node):
-                if k.tag == "header" or k.marked and k.tag == "div":
-                    if not _keeps_title(k):
-                        continue
-                elif k.marked:
+                if k.tag in DROP:
                     continue
+                if (k.marked or k.tag == "header") and not _keeps_title(k) and not _holds_article(k):
+                    if told or k.tag == "header":
+                        continue
+                    every = every or max(_chars(root), 1)
+                    if 2 * _chars(k) < every:
+                        continue
                 todo.append(k)
             kids.append(k)
         x.kids = kids

@@ -106,6 +106,13 @@ def test_main_text():
     assert html_text.main_text(PAGE) == "Title & more\nFirst para with link text that is long enough.\none item\ntwo item\nSecond para after break. 1 < 2 <b>"
 
 
+def test_wrappers_named_after_what_they_lack():
+    page = "<body><div class='page has-sidebar comments-open'><main><h1>T</h1><p>Long enough text of the article, as such.</p></main><div class='sidebar'>links</div></div></body>"
+    assert html_text.main_text(page) == "T\nLong enough text of the article, as such."
+    page = "<body><div class='content-with-sidebar'><p>Long enough text of the article, as such.</p><p>And more of it here.</p></div><div class='menu'>Home</div></body>"
+    assert html_text.main_text(page) == "Long enough text of the article, as such.\nAnd more of it here."
+
+
 @pytest.mark.parametrize(("page", "text"), [(None, ""), ("", ""), ("plain text", "plain text"), ("<p>a", "a"), ("<script>x", ""), ("<!-- x", ""), ('<p a="x>y">z</p>', "z"), ("<div>" * 3000 + "x", "x"), ("<p>a</p><p>b</p>", "a\nb")])
 def test_odd_pages(page, text):
     assert html_text.main_text(page) == text
