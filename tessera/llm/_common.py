@@ -2,31 +2,37 @@
 
 from __future__ import annotations
 
-import os
+import atexit
+import shutil
 import tempfile
 import uuid
+from functools import lru_cache
 
 from pyspark.sql import DataFrame, SparkSession
 
 
+@lru_cache(1)
+def _local_dir() -> str:
+    """A folder of this process, gone when it ends; for one machine only."""
+    path = tempfile.mkdtemp(prefix="tessera-")
+    atexit.register(shutil.rmtree, path, ignore_errors=True)
+    return f"file://{path}"
+
+
 def shared_dir(spark: SparkSession) -> str:
-    """The folder all executors share; a local one is set only where none is (tests, one machine)."""
+    """The folder all executors share, as the cluster names it; where it names none and all runs in one process, a local one."""
     given = spark.conf.get("spark.checkpoint.dir", None)
-    if not given:
-        have = spark.sparkContext._jsc.sc().getCheckpointDir()
-        if have.isDefined():
-            return have.get()
-        if not spark.sparkContext.master.startswith("local["):
-            raise ValueError("spark.checkpoint.dir is unset on a cluster")
-        given = "file://" + os.path.join(tempfile.gettempdir(), "tessera-shared")
-    spark.sparkContext.setCheckpointDir(given)
-    return spark.sparkContext._jsc.sc().getCheckpointDir().get()
+    if given:
+        return given.rstrip("/")
+    if not spark.sparkContext.master.split("[")[0] == "local":
+        raise ValueError("spark.checkpoint.dir is unset on a cluster")
+    return _local_dir()
 
 
 def stored(df: DataFrame) -> DataFrame:
     """df written to the shared folder and read again: lineage ends here and lost executors cost nothing."""
     spark = df.sparkSession
-    path = f"{shared_dir(spark)}/t-{uuid.uuid4().hex}"
+    path = f"{shared_dir(spark)}/tessera/t-{uuid.uuid4().hex}"
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 

@@ -31,7 +31,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ._common import stored
+from ._common import discard, stored
 from .lm import chunks
 
 POSITIONS = 64
@@ -299,7 +299,8 @@ def components(edges: DataFrame) -> DataFrame:
         big = big.where("u != v").distinct()
         low = big.groupBy("u").agg(F.min("v").alias("m"))
         near = big.join(low, "u").where("v != m").select(F.col("v").alias("u"), F.col("m").alias("v")).unionByName(low.select("u", F.col("m").alias("v")))
-        now = stored(near.where("u != v").distinct())
+        before, now = now, stored(near.where("u != v").distinct())
+        discard(before)
         mark = now.agg(F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first()
         if mark == last:
             break
