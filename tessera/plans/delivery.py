@@ -31,7 +31,8 @@ class Rules:
 def ingest_delivery(spark: SparkSession, root: str) -> tuple[DataFrame, DataFrame]:
     """(accepted, quarantine): headers of objects in scope with the report beside them; the rest with its reason."""
     objects = dicom.scan(spark, root)
-    h = dicom.headers(objects, keep=("source_path", "site_id", "stem", "sha256", "size_bytes"))
+    # both outputs come from one parse; headers are small beside the objects
+    h = dicom.headers(objects, keep=("source_path", "site_id", "stem", "sha256", "size_bytes")).persist()
     rule = ingest.reject({k: F.col(k) for k in REQUIRED}, F.col("Modality"), F.col("BodyPartExamined"), F.col("has_pixels"))
     unread = F.struct(F.when(F.col("error") == "not a DICOM file", "NOT_DICOM").otherwise("UNREADABLE").alias("reason"), F.col("error").alias("detail"))
     good, bad = ingest.ingest(h, F.when(F.col("error").isNotNull(), unread).otherwise(rule))
