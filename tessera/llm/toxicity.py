@@ -108,6 +108,16 @@ class Model:
         return 1 / (1 + np.exp(-np.clip(z, -30, 30)))
 
 
+def _parts(texts: list[str], most: int = 1 << 19) -> Iterator[tuple[int, list[str]]]:
+    """Runs of texts of about `most` characters, each with the number of its first."""
+    lo = size = 0
+    for i, t in enumerate(texts):
+        size += len(t)
+        if size > most or i == len(texts) - 1:
+            yield lo, texts[lo : i + 1]
+            lo, size = i + 1, 0
+
+
 def fit(texts: list[str], labels: np.ndarray, share: float | None = None, buckets: int = 1 << 17, dim: int = 4, window: int = 40, epochs: int = 60, rate: float = 5.0, decay: float = 0.005, seen: int = 8, seed: int = 7) -> Model:
     """share: of toxic texts where scores are used, if the sample's differs; scores are shifted to it.
 
@@ -116,24 +126,35 @@ def fit(texts: list[str], labels: np.ndarray, share: float | None = None, bucket
     least = window * 12
     if not len(y) or y.min() == y.max():
         return Model(np.zeros(2, np.float32), 0.0, window, least, prior=float(y.mean()) if len(y) else 0.0)
-    starts, sizes, begin, owner = grams(texts, buckets)
-    lo, hi, of = windows(starts, begin, owner, window)
-    often, size = np.zeros(buckets, np.int32), np.zeros(len(lo))
-    for at, bucket in sizes:
-        size += np.searchsorted(at, hi) - np.searchsorted(at, lo)
-        edge = np.searchsorted(at, starts)
-        for i in range(len(texts)):
-            often[np.unique(bucket[edge[i] : edge[i + 1]])] += 1
-    size = np.maximum(size, least).astype(np.float32) / SCALE
+    # two passes over parts of the texts: only what counts is kept, so memory follows the kept n-grams
+    often, size, of = np.zeros(buckets, np.int32), [], []
+    for at_text, part in _parts(texts):
+        starts, sizes, begin, owner = grams(part, buckets)
+        lo, hi, own = windows(starts, begin, owner, window)
+        of.append(own + at_text)
+        n = np.zeros(len(lo))
+        for at, bucket in sizes:
+            n += np.searchsorted(at, hi) - np.searchsorted(at, lo)
+            edge = np.searchsorted(at, starts)
+            for i in range(len(part)):
+                often[np.unique(bucket[edge[i] : edge[i + 1]])] += 1
+        size.append(n)
+    size, of = np.maximum(np.concatenate(size), least).astype(np.float32) / SCALE, np.concatenate(of)
+    if not len(of):
+        return Model(np.zeros(2, np.float32), 0.0, window, least, prior=float(y.mean()))
     used = np.flatnonzero(often >= seen)
     index = np.full(buckets, -1, np.int32)
     index[used] = np.arange(len(used))
-    bags = []  # by size of n-gram: the kept n-grams' embeddings in text order, and each window's range
-    while sizes:
-        at, bucket = sizes.pop()
-        e = index[bucket]
-        at, e = at[e >= 0], e[e >= 0]
-        bags.append((e, np.searchsorted(at, lo), np.searchsorted(at, hi)))
+    bags = []  # by part and size of n-gram: embeddings in text order, each window's range, and the part's windows
+    done = 0
+    for _, part in _parts(texts):
+        starts, sizes, begin, owner = grams(part, buckets)
+        lo, hi, _ = windows(starts, begin, owner, window)
+        for at, bucket in sizes:
+            e = index[bucket]
+            at, e = at[e >= 0], e[e >= 0]
+            bags.append((e, np.searchsorted(at, lo).astype(np.int32), np.searchsorted(at, hi).astype(np.int32), done, done + len(lo)))
+        done += len(lo)
     rng = np.random.default_rng(seed)
     emb = rng.normal(0, 0.01, (len(used), dim)).astype(np.float32)
     soft = rng.normal(0, 1.0, (dim, 2)).astype(np.float32)
@@ -144,10 +165,10 @@ def fit(texts: list[str], labels: np.ndarray, share: float | None = None, bucket
     span = np.diff(np.append(head, len(of)))
     for step in range(1, epochs + 1):
         # the gap of logits is linear in the window's mean: running sums find each text's leading window
-        line, gap = emb @ (soft[:, 1] - soft[:, 0]), np.zeros(len(lo))
-        for e, first, last in bags:
+        line, gap = emb @ (soft[:, 1] - soft[:, 0]), np.zeros(len(of))
+        for e, first, last, lo, hi in bags:
             run = np.concatenate(([0.0], np.cumsum(line[e], dtype=np.float64)))
-            gap += run[last] - run[first]
+            gap[lo:hi] += run[last] - run[first]
         gap = gap / size + bias[1] - bias[0]
         top = np.repeat(np.maximum.reduceat(gap, head), span)
         led = np.flatnonzero(gap >= top)
@@ -155,10 +176,12 @@ def fit(texts: list[str], labels: np.ndarray, share: float | None = None, bucket
         g = (1 / (1 + np.exp(-np.clip(gap[led], -30, 30))) - y[of[led]]) / len(led)
         dz = np.stack((-g, g), axis=1).astype(np.float32)
         row, feat = [], []
-        for e, first, last in bags:
-            n = last[led] - first[led]
-            feat.append(e[np.repeat(first[led] - np.concatenate(([0], np.cumsum(n)[:-1])), n) + np.arange(n.sum())])
-            row.append(np.repeat(np.arange(len(led)), n))
+        for e, first, last, lo, hi in bags:
+            own = np.arange(*np.searchsorted(led, [lo, hi]))
+            f = first[led[own] - lo]
+            n = last[led[own] - lo] - f
+            feat.append(e[np.repeat(f - (np.cumsum(n) - n), n) + np.arange(n.sum())])
+            row.append(np.repeat(own, n))
         row, feat = np.concatenate(row), np.concatenate(feat)
         mean = np.stack([np.bincount(row, emb[feat, k], len(led)) for k in range(dim)], axis=1).astype(np.float32) / size[led][:, None]
         dmean = (dz @ soft.T) / size[led][:, None]
