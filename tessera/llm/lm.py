@@ -3,12 +3,12 @@
 P(word | before) = P(class | before) * P(word | class, before). The `vocab` most frequent training words
 are dealt to `heads` classes of near even mass; all other words fall by their last two bytes into `tails`
 classes, in which a word has its smoothed share of counts. Both factors of a frequent word, and the class
-of a rare one, are log-linear in hashed features of the three words before: the last word, the last but
-one (a skip), both together, and the last but two. Weights start from the counts and are trained by
-distributed gradient updates: in each round every trainer goes through its share of the documents in
-minibatches, and the changes are averaged by how often each feature row was met. Counts, gradients and
-scores cover all documents; what is broadcast has a fixed size (`known` hashed words with counts, the
-feature tables).
+of a rare one, are log-linear in hashed features of the words before: the last word, the last but one (a
+skip), and both together. Weights start from the counts and are trained by distributed gradient updates
+on the counts of all trigrams of symbols (a frequent word or a tail class): in each round every trainer
+goes through its share in minibatches, and the changes are averaged by how often each feature row was
+met. Counts, gradients and scores cover all documents; what is broadcast has a fixed size (`known` hashed
+words with counts, the feature tables).
 
 Base model: sum over tokens of log10((c + 0.1) / (N + 0.1 (V + 1))). Words outside the broadcast table get
 their counts by a join, so both scores are exact in the counts whatever the vocabulary's size.
@@ -20,13 +20,15 @@ words are unknown; repeated rows are scored alike; an empty table gives no rows.
 
 from __future__ import annotations
 
+import itertools
 import math
 import zlib
-from collections import Counter
+from collections import Counter, defaultdict
 from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 import xxhash
 from pyspark import TaskContext
@@ -38,6 +40,9 @@ from ._common import stored
 
 END = b"\n"  # no word holds white space
 SMOOTH = 0.1
+SYMBOL_BITS = 10
+#: Each trainer sends its tables' changes once a round, a few MB.
+MOST_TRAINERS = 64
 
 
 def word_hash(w: bytes) -> int:
@@ -62,14 +67,13 @@ def chunks(batch: pa.RecordBatch, col: int, most: int = 1 << 21) -> Iterator[tup
 
 @dataclass
 class Shape:
-    """Sizes of the model; all fixed, whatever the corpus."""
+    """Sizes of the model; all fixed, whatever the corpus. vocab + tails + 2 symbols fit in SYMBOL_BITS."""
 
-    vocab: int = 1000
-    heads: int = 24
-    tails: int = 24
+    vocab: int = 720
+    heads: int = 16
+    tails: int = 56
     known: int = 1 << 19
-    suffixes: int = 1024
-    rows: int = 1 << 15
+    rows: int = 1 << 14
     width: int = 64
 
     @property
@@ -95,50 +99,55 @@ class Params:
 
 
 def read_chunk(texts: list[bytes], p: Params) -> dict[str, np.ndarray]:
-    """Tokens of texts, each with its hash, count, symbol, class and place, and the features before it."""
-    ids: dict[bytes, int] = {END: 0}
-    put, flat, n = ids.setdefault, [], []
+    """Tokens of texts as local ids, by local id its hash, count and symbol, and by token the trigram of symbols."""
+    ids: defaultdict = defaultdict(itertools.count().__next__)
+    flat, n = [ids[END]], []
     for t in texts:
         words = t.split()
         n.append(len(words) + 1)
-        flat += [put(w, len(ids)) for w in words]
+        flat += [ids[w] for w in words]
         flat.append(0)
     s = p.shape
-    flat = np.array(flat, np.int32)
+    flat = np.array(flat[1:], np.int32)
     h = np.array([word_hash(w) for w in ids], np.int64)
-    tail = np.array([zlib.crc32(w[-2:]) % s.tails for w in ids], np.int32)
-    sym = np.array([zlib.crc32(w[-3:]) % s.suffixes for w in ids], np.int32) + s.vocab
     if len(p.hashes):
         at = np.minimum(np.searchsorted(p.hashes, h), len(p.hashes) - 1)
         found = p.hashes[at] == h
+        count, voc = np.where(found, p.counts[at], -1), np.where(found, p.word[at], -1)
     else:
-        at, found = np.zeros(len(h), np.int64), np.zeros(len(h), bool)
-    count = np.where(found, p.counts[at] if len(p.counts) else 0, -1)
-    voc = np.where(found, p.word[at] if len(p.word) else -1, -1)
-    inside = voc >= 0
-    sym = np.where(inside, voc, sym).astype(np.int64)
-    cls = np.where(inside, p.cls[voc] if len(p.cls) else 0, s.heads + tail)
-    place = np.where(inside, p.place[voc] if len(p.place) else 0, -1)
+        count = voc = np.full(len(h), -1)
+    sym = voc.astype(np.int32)
+    rare = np.flatnonzero(voc < 0)
+    words = list(ids)
+    sym[rare] = [s.vocab + zlib.crc32(words[i][-2:]) % s.tails for i in rare.tolist()]
     n = np.array(n)
     ends = np.cumsum(n)
-    # a start symbol stands before each text
-    pos = np.arange(len(flat)) - np.repeat(ends - n, n)
     y = sym[flat]
-    none = s.vocab + s.suffixes
-    before = [np.where(pos >= k, np.roll(y, k), none + min(k, 2)) for k in (1, 2, 3)]
-    return {"n": n, "ends": ends, "h": h, "flat": flat, "count": count, "cls": cls[flat], "place": place[flat], "before": before}
-
-
-def features(before: list[np.ndarray], rows: int) -> np.ndarray:
-    """(tokens, 4) rows of the feature table."""
-    a, b, c = (x.astype(np.uint64) for x in before)
-    mix = lambda x, k: ((x * np.uint64(0x9E3779B97F4A7C15) + np.uint64(k * 0xC2B2AE3D27D4EB4F % (1 << 64))) >> np.uint64(64 - (rows - 1).bit_length())).astype(np.int32)
-    return np.stack((mix(a, 1), mix(b, 2), mix(a * np.uint64(1 << 20) + b, 3), mix(c, 4)), axis=1)
+    first = ends - n
+    none = s.vocab + s.tails  # start symbols: none for the first word's last, none + 1 for the last but one
+    a, b = np.roll(y, 1), np.roll(y, 2)
+    a[first] = none
+    b[first] = none + 1
+    b[np.minimum(first + 1, ends - 1)[n > 1]] = none
+    b[first] = none + 1
+    return {"n": n, "ends": ends, "h": h, "flat": flat, "count": count, "y": y, "code": a << (2 * SYMBOL_BITS) | b << SYMBOL_BITS | y}
+
+
+def decode(code: np.ndarray, p: Params) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Of trigram codes: feature rows (n, 3), class, place in the class or -1."""
+    low = (1 << SYMBOL_BITS) - 1
+    a, b, y = code >> (2 * SYMBOL_BITS), code >> SYMBOL_BITS & low, code & low
+    s = p.shape
+    mix = lambda x, k: ((x.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15) + np.uint64(k * 0xC2B2AE3D27D4EB4F % (1 << 64))) >> np.uint64(64 - (s.rows - 1).bit_length())).astype(np.uint16)
+    cls, place = s.heads + y - s.vocab, np.full(len(y), -1, np.int32)
+    own = np.flatnonzero(y < s.vocab)
+    cls[own], place[own] = p.cls[y[own]], p.place[y[own]]
+    return np.stack((mix(a, 1), mix(b, 2), mix(a << SYMBOL_BITS | b, 3)), axis=1), cls, place
 
 
 def word_features(f: np.ndarray, cls: np.ndarray, rows: int) -> np.ndarray:
-    """(tokens, 2) rows of the table of words in a class: the last word and the skip, each with the class."""
-    return ((f[:, :2].astype(np.int64) * 31 + cls[:, None].astype(np.int64) * 7919) % rows).astype(np.int32)
+    """(n, 2) rows of the table of words in a class: the last word and the skip, each with the class."""
+    return ((f[:, :2].astype(np.int64) * 31 + cls[:, None].astype(np.int64) * 7919) % rows).astype(np.uint16)
 
 
 def _soft(z: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -155,57 +164,51 @@ def _sum_rows(table: np.ndarray, f: np.ndarray) -> np.ndarray:
     return z
 
 
-def _step(table: np.ndarray, met: np.ndarray, f: np.ndarray, g: np.ndarray, rate: float, calm: float) -> None:
-    """Moves the rows f of table against gradients g, by their mean in the batch, less where a row is rarely met."""
+def _step(table: np.ndarray, met: np.ndarray, f: np.ndarray, g: np.ndarray, w: np.ndarray, rate: float, calm: float) -> None:
+    """Moves the rows f of table against gradients g of weights w, by their mean in the batch, less where a row is rarely met."""
     flat = f.ravel()
     order = np.argsort(flat, kind="stable")
     rows = flat[order]
     head = np.flatnonzero(np.append(True, rows[1:] != rows[:-1]))
-    total = np.add.reduceat(g[order // f.shape[1]], head, axis=0)
-    n = np.diff(np.append(head, len(rows))).astype(np.float32)
+    from_ = order // f.shape[1]
+    total = np.add.reduceat(g[from_], head, axis=0)
+    n = np.add.reduceat(w[from_], head)
     own = rows[head]
     met[own] += n
     table[own] -= rate * total / (n + calm)[:, None]
 
 
-def train_chunk(p: Params, met: tuple[np.ndarray, np.ndarray], texts: list[bytes], batch: int = 8192, rate: float = 0.4, calm: float = 6.0) -> None:
-    x = read_chunk(texts, p)
-    s = p.shape
-    for lo in range(0, len(x["flat"]), batch):
-        cls, place = x["cls"][lo : lo + batch], x["place"][lo : lo + batch]
-        f = features([b[lo : lo + batch] for b in x["before"]], s.rows)
-        _, g = _soft(_sum_rows(p.class_rows, f) + p.class_bias)
-        g[np.arange(len(cls)), cls] -= 1
-        own = np.flatnonzero(place >= 0)
-        if len(own):
-            wf = word_features(f[own], cls[own], s.rows)
-            _, gw = _soft(_sum_rows(p.word_rows, wf) + p.word_bias[cls[own]])
-            gw[np.arange(len(own)), place[own]] -= 1
-            _step(p.word_rows, met[1], wf, gw, rate, calm)
-        _step(p.class_rows, met[0], f, g, rate, calm)
-
-
-def score_chunk(p: Params, texts: list[bytes], batch: int = 8192) -> tuple[dict, np.ndarray, np.ndarray]:
-    """The chunk, and by token the natural logs of class and word, 0 for words that the tail classes' counts score."""
-    x = read_chunk(texts, p)
-    s = p.shape
-    out = np.zeros(len(x["flat"]))
-    for lo in range(0, len(out), batch):
-        cls, place = x["cls"][lo : lo + batch], x["place"][lo : lo + batch]
-        f = features([b[lo : lo + batch] for b in x["before"]], s.rows)
+def train_batch(p: Params, met: tuple[np.ndarray, np.ndarray], code: np.ndarray, count: np.ndarray, rate: float, calm: float = 4.0) -> None:
+    f, cls, place = decode(code, p)
+    w = count.astype(np.float32)
+    _, g = _soft(_sum_rows(p.class_rows, f) + p.class_bias)
+    g[np.arange(len(cls)), cls] -= 1
+    own = np.flatnonzero(place >= 0)
+    if len(own):
+        wf = word_features(f[own], cls[own], p.shape.rows)
+        _, gw = _soft(_sum_rows(p.word_rows, wf) + p.word_bias[cls[own]])
+        gw[np.arange(len(own)), place[own]] -= 1
+        _step(p.word_rows, met[1], wf, gw * w[own, None], w[own], rate, calm)
+    _step(p.class_rows, met[0], f, g * w[:, None], w, rate, calm)
+
+
+def log_probs(p: Params, code: np.ndarray, batch: int = 16384) -> np.ndarray:
+    """Natural log of the chance of class and place of each trigram's last symbol."""
+    out = np.empty(len(code))
+    for lo in range(0, len(code), batch):
+        f, cls, place = decode(code[lo : lo + batch], p)
         part = _soft(_sum_rows(p.class_rows, f) + p.class_bias)[0][np.arange(len(cls)), cls].astype(np.float64)
         own = np.flatnonzero(place >= 0)
         if len(own):
-            wf = word_features(f[own], cls[own], s.rows)
+            wf = word_features(f[own], cls[own], p.shape.rows)
             part[own] += _soft(_sum_rows(p.word_rows, wf) + p.word_bias[cls[own]])[0][np.arange(len(own)), place[own]]
         out[lo : lo + batch] = part
-    return x, out
+    return out
 
 
-def token_counts(docs: DataFrame, text_col: str) -> DataFrame:
+def token_counts(docs: DataFrame, text_col: str, tails: int = Shape.tails) -> DataFrame:
     """h, c, tail: each distinct token's hash, count and tail class; combined within tasks first."""
     schema = "h long, tail int, c long"
-    tails = Shape().tails
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: Counter = Counter()
@@ -263,51 +266,91 @@ def start(counts: DataFrame, shape: Shape) -> Params:
     return Params(shape, h[order], c[order], word[order], cls, place, (bias - bias.max()).astype(np.float32), word_bias, np.log10(tail_mass), np.zeros((shape.rows, shape.classes), np.float32), np.zeros((shape.rows, shape.width), np.float32), int(total), int(distinct))
 
 
-def train(docs: DataFrame, text_col: str, p: Params, rounds: int = 1, trainers: int | None = None, blocks: int = 32) -> Params:
-    """Rounds of gradient updates; trainers: how many shares a round has, by default the cluster's cores."""
-    spark = docs.sparkSession
-    trainers = trainers or max(2, spark.sparkContext.defaultParallelism)
+def trigrams(docs: DataFrame, text_col: str, p: Params, most: int = 4_000_000) -> DataFrame:
+    """code, c: how often each trigram of symbols occurs; combined within tasks first."""
+    none = np.zeros((0, 0), np.float32)
+    sent = docs.sparkSession.sparkContext.broadcast(Params(**(vars(p) | {"class_rows": none, "word_rows": none})))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        p, held, size = sent.value, [], 0
+
+        def out() -> pa.RecordBatch:
+            code, c = np.unique(np.concatenate(held), return_counts=True)
+            held.clear()
+            return pa.RecordBatch.from_arrays([pa.array(code.astype(np.int32)), pa.array(c.astype(np.int64))], names=["code", "c"])
+
+        for batch in batches:
+            for _, texts in chunks(batch, 0):
+                held.append(read_chunk(texts, p)["code"])
+                size += len(held[-1])
+                if size > most:
+                    size = 0
+                    yield out()
+        if held:
+            yield out()
+
+    return docs.select(text_col).mapInArrow(run, "code int, c long").groupBy("code").agg(F.sum("c").alias("c"))
+
+
+def train(grams: DataFrame, p: Params, rounds: int = 3, trainers: int | None = None, blocks: int = 16, batch: int = 2048, rate: float = 1.0) -> Params:
+    """Rounds of gradient updates over the stored trigrams; trainers: shares a round has, by default the cluster's cores."""
+    spark = grams.sparkSession
+    trainers = trainers or min(max(2, spark.sparkContext.defaultParallelism), MOST_TRAINERS)
     per = p.shape.rows // blocks
     for r in range(rounds):
-        part = docs if rounds == 1 else docs.where(F.pmod(F.xxhash64(text_col), F.lit(rounds)) == r)
         sent = spark.sparkContext.broadcast(p)
+        pace = rate / (1 + r)
 
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             old = sent.value  # noqa: B023
             new = Params(**(vars(old) | {"class_rows": old.class_rows.copy(), "word_rows": old.word_rows.copy()}))
             met = (np.zeros(old.shape.rows, np.float32), np.zeros(old.shape.rows, np.float32))
-            for batch in batches:
-                for _, texts in chunks(batch, 0):
-                    train_chunk(new, met, texts)
+            for part in batches:
+                code, c = np.asarray(part.column(0)), np.asarray(part.column(1))
+                for lo in range(0, len(code), batch):
+                    train_batch(new, met, code[lo : lo + batch], c[lo : lo + batch], pace)  # noqa: B023
             for b in range(blocks):
-                own = slice(b * per, (b + 1) * per)
                 data = []
                 for after, before, n in ((new.class_rows, old.class_rows, met[0]), (new.word_rows, old.word_rows, met[1])):
-                    data += [((after[own] - before[own]) * n[own, None]).astype(np.float32).tobytes(), n[own].tobytes()]
-                yield pa.RecordBatch.from_arrays([pa.array([b], pa.int32()), *[pa.array([d], pa.binary()) for d in data]], names=["b", "dc", "nc", "dw", "nw"])
+                    own = np.flatnonzero(n[b * per : (b + 1) * per]) + b * per  # rows never met don't travel
+                    data += [own.astype(np.int32).tobytes(), n[own].tobytes(), (after[own] - before[own]).astype(np.float16).tobytes()]
+                yield pa.RecordBatch.from_arrays([pa.array([b], pa.int32()), *[pa.array([d], pa.binary()) for d in data]], names=names)  # noqa: B023
 
         def add(pdf):
-            sums = [np.sum([np.frombuffer(x, np.float32) for x in pdf[c]], axis=0) for c in ("dc", "nc", "dw", "nw")]
-            return pdf.iloc[:1].assign(dc=[sums[0].tobytes()], nc=[sums[1].tobytes()], dw=[sums[2].tobytes()], nw=[sums[3].tobytes()])
-
-        schema = "b int, dc binary, nc binary, dw binary, nw binary"
-        got = part.select(text_col).coalesce(trainers).mapInArrow(run, schema).groupBy("b").applyInPandas(add, schema).collect()
-        for g in got:
-            own = slice(g["b"] * per, (g["b"] + 1) * per)
-            for table, d, n in ((p.class_rows, g["dc"], g["nc"]), (p.word_rows, g["dw"], g["nw"])):
-                n = np.frombuffer(n, np.float32)
-                table[own] += np.frombuffer(d, np.float32).reshape(per, -1) / np.maximum(n, 1)[:, None]
+            """Of a block: the rows met by any trainer, and their mean changes weighed by how often each met them."""
+            out = {"b": [pdf["b"].iloc[0]]}
+            for t in "cw":
+                total, n = None, np.zeros(p.shape.rows, np.float64)
+                for at, k, d in zip(pdf[f"at_{t}"], pdf[f"n_{t}"], pdf[f"d_{t}"]):
+                    at, k = np.frombuffer(at, np.int32), np.frombuffer(k, np.float32)
+                    if len(at):
+                        d = np.frombuffer(d, np.float16).reshape(len(at), -1).astype(np.float32)
+                        total = np.zeros((per, d.shape[1]), np.float32) if total is None else total
+                        total[at % per] += d * k[:, None]
+                        n[at] += k
+                at = np.flatnonzero(n)
+                out |= {f"at_{t}": [at.astype(np.int32).tobytes()], f"n_{t}": [n[at].astype(np.float32).tobytes()], f"d_{t}": [b"" if total is None else (total[at % per] / n[at, None]).astype(np.float16).tobytes()]}
+            return pd.DataFrame(out)
+
+        names = ["b", *[f"{x}_{t}" for t in "cw" for x in ("at", "n", "d")]]
+        schema = "b int, " + ", ".join(f"{x} binary" for x in names[1:])
+        for g in grams.coalesce(trainers).mapInArrow(run, schema).groupBy("b").applyInPandas(add, schema).collect():
+            for table, t in ((p.class_rows, "c"), (p.word_rows, "w")):
+                at = np.frombuffer(g[f"at_{t}"], np.int32)
+                if len(at):
+                    table[at] += np.frombuffer(g[f"d_{t}"], np.float16).reshape(len(at), -1)
         sent.destroy()
     return p
 
 
-def score(docs: DataFrame, held_out, id_col: str = "doc_id", text_col: str = "text", shape: Shape | None = None, rounds: int = 1) -> DataFrame:
+def score(docs: DataFrame, held_out, id_col: str = "doc_id", text_col: str = "text", shape: Shape | None = None, rounds: int = 2) -> DataFrame:
     """doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score; rows where held_out is true don't train."""
     spark = docs.sparkSession
     shape = shape or Shape()
     learn = docs.where(~held_out).select(docs[text_col].alias("t"))
-    counts = stored(token_counts(learn, "t"))
-    p = train(learn, "t", start(counts, shape), rounds)
+    counts = stored(token_counts(learn, "t", shape.tails))
+    p = start(counts, shape)
+    p = train(stored(trigrams(learn, "t", p)), p, rounds)
     sent = spark.sparkContext.broadcast(p)
     kind = docs.schema[id_col].dataType
     schema = T.StructType([T.StructField("doc_id", kind), T.StructField("held_out", T.BooleanType())] + T.StructType.fromDDL("key long, n_tokens long, n_known long, base double, model double, hs array<long>, ms array<int>").fields)
@@ -318,12 +361,13 @@ def score(docs: DataFrame, held_out, id_col: str = "doc_id", text_col: str = "te
         unit = math.log10(p.total + SMOOTH * (p.distinct + 1))
         for batch in batches:
             for rows, texts in chunks(batch, 2):
-                x, logs = score_chunk(p, texts)
+                x = read_chunk(texts, p)
                 count = x["count"][x["flat"]]
                 known = count > 0
                 gain = np.where(known, np.log10(np.maximum(count, 0) + SMOOTH), 0.0)
-                rare = x["place"] < 0
-                model = logs / math.log(10) + np.where(rare, gain - p.tail_mass[np.maximum(x["cls"] - p.shape.heads, 0)], 0.0)
+                code, place = np.unique(x["code"], return_inverse=True)
+                rare = x["y"] >= p.shape.vocab
+                model = (log_probs(p, code) / math.log(10))[place] + np.where(rare, gain - p.tail_mass[np.maximum(x["y"] - p.shape.vocab, 0)], 0.0)
                 at = x["ends"] - x["n"]
                 open_ = count < 0
                 # (text, word) pairs whose counts only the join knows
@@ -338,6 +382,7 @@ def score(docs: DataFrame, held_out, id_col: str = "doc_id", text_col: str = "te
                 yield pa.RecordBatch.from_arrays([*lead, keys, pa.array(x["n"], pa.int64()), pa.array(np.add.reduceat(known, at, dtype=np.int64)), pa.array(np.add.reduceat(gain, at) - x["n"] * unit), pa.array(np.add.reduceat(model, at)), hs, ms], names=schema.names)
 
     parts = stored(docs.select(docs[id_col].alias("doc_id"), held_out.alias("held_out"), docs[text_col].alias("t")).mapInArrow(run, schema))
+    sent.destroy()
     rare = parts.where(F.size("hs") > 0).select("key", F.explode(F.arrays_zip("hs", "ms")).alias("x")).select("key", F.col("x.hs").alias("h"), F.col("x.ms").alias("m"))
     # a null word stands for those that training never met: each counts as 0
     joined = rare.join(counts.select("h", "c"), "h", "left")
