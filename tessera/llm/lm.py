@@ -232,10 +232,18 @@ def token_counts(docs: DataFrame, text_col: str, tails: int = Shape.tails) -> Da
 
 
 def start(counts: DataFrame, shape: Shape) -> Params:
-    """Tables and biases from the stored counts; what is collected is bounded by shape.known."""
+    """Tables and biases from the stored counts; what is collected is bounded by shape.known. Words of one count are all in or all out."""
     tails = {r["tail"]: r for r in counts.groupBy("tail").agg(F.sum("c").alias("n"), F.count("*").alias("v")).collect()}
     total, distinct = sum(r["n"] for r in tails.values()), sum(r["v"] for r in tails.values())
-    top = counts.orderBy(F.desc("c"), "h").limit(shape.known).toArrow()
+    # a histogram over few buckets of counts tells from which count on words fit: no sort, no task that sees all tops
+    bucket = F.when(F.col("c") < 1024, F.col("c")).otherwise(1024 + F.floor((F.log2(F.col("c").cast("double")) - 10) * 64))
+    least, room = None, shape.known
+    for r in sorted(counts.groupBy(bucket.alias("b")).agg(F.count("*").alias("n")).collect(), key=lambda r: -r["b"]):
+        room -= r["n"]
+        if room < 0:
+            break
+        least = r["b"]
+    top = counts.where(bucket >= least if least is not None else F.lit(False)).toArrow()
     h, c, tail = (np.asarray(top.column(k)) for k in ("h", "c", "tail"))
     lead = np.lexsort((h, -c))
     h, c, tail = h[lead], c[lead], tail[lead]
