@@ -3,12 +3,13 @@
 P(word | before) = P(class | before) * P(word | class, before). The `vocab` most frequent training words
 are dealt to `heads` classes of near even mass; all other words fall by their last two bytes into `tails`
 classes, in which a word has its smoothed share of counts. Both factors of a frequent word, and the class
-of a rare one, are log-linear in hashed features of the words before: the last word, the last but one (a
-skip), and both together. Weights start from the counts and are trained by distributed gradient updates
-on the counts of all trigrams of symbols (a frequent word or a tail class): in each round every trainer
-goes through its share in minibatches, and the changes are averaged by how often each feature row was
-met. Counts, gradients and scores cover all documents; what is broadcast has a fixed size (`known` hashed
-words with counts, the feature tables).
+of a rare one, are log-linear in hashed features of the three words before: the last word, the last but
+one (a skip), both together, and the last but two. Before a word, a frequent word stands for itself and
+a rare one for its last three bytes. Weights start from the counts and are trained by distributed gradient
+updates on the counts of all words with the three before: in each round every trainer goes through its
+share in minibatches, and the changes are averaged by how often each feature row was met. Counts,
+gradients and scores cover all documents. Vocabulary, contexts and feature tables grow with the square root
+of the number of distinct words, up to MOST_GROWTH times; `known`, the hashed words that are broadcast, is fixed.
 
 Base model: sum over tokens of log10((c + 0.1) / (N + 0.1 (V + 1))). Words outside the broadcast table get
 their counts by a join, so both scores are exact in the counts whatever the vocabulary's size.
@@ -40,7 +41,9 @@ from ._common import stored
 
 END = b"\n"  # no word holds white space
 SMOOTH = 0.1
-SYMBOL_BITS = 10
+#: Distinct words for which Shape's own sizes are meant, and how far they grow.
+GROWS_FROM = 400_000
+MOST_GROWTH = 8
 #: Each trainer sends its tables' changes once a round, a few MB.
 MOST_TRAINERS = 64
 
@@ -67,15 +70,34 @@ def chunks(batch: pa.RecordBatch, col: int, most: int = 1 << 21) -> Iterator[tup
 
 @dataclass
 class Shape:
-    """Sizes of the model; all fixed, whatever the corpus. vocab + tails + 2 symbols fit in SYMBOL_BITS."""
+    """Sizes of the model. A code holds the symbols of the three words before and of the word itself."""
 
-    vocab: int = 720
-    heads: int = 16
+    vocab: int = 1000
+    heads: int = 24
     tails: int = 56
+    suffixes: int = 1024
     known: int = 1 << 19
-    rows: int = 1 << 14
+    rows: int = 1 << 15
     width: int = 64
 
+    @classmethod
+    def of(cls, distinct: int) -> Shape:
+        """The sizes for so many distinct words; rows stay a power of two."""
+        by = min(max(1.0, math.sqrt(distinct / GROWS_FROM)), MOST_GROWTH)
+        return cls(vocab=round(cls.vocab * by), heads=round(cls.heads * by), suffixes=round(cls.suffixes * by), rows=cls.rows << int(math.log2(by)))
+
+    @property
+    def word_bits(self) -> int:
+        return max(10, (self.vocab + self.tails).bit_length())
+
+    @property
+    def context_bits(self) -> int:
+        return (self.vocab + self.suffixes + 2).bit_length()
+
+    @property
+    def row_type(self) -> type:
+        return np.uint16 if self.rows <= 1 << 16 else np.uint32
+
     @property
     def classes(self) -> int:
         return self.heads + self.tails
@@ -99,7 +121,7 @@ class Params:
 
 
 def read_chunk(texts: list[bytes], p: Params) -> dict[str, np.ndarray]:
-    """Tokens of texts as local ids, by local id its hash, count and symbol, and by token the trigram of symbols."""
+    """Tokens of texts as local ids, by local id its hash, count and symbol, and by token the code of the symbols before and its own."""
     ids: defaultdict = defaultdict(itertools.count().__next__)
     flat, n = [ids[END]], []
     for t in texts:
@@ -116,38 +138,37 @@ def read_chunk(texts: list[bytes], p: Params) -> dict[str, np.ndarray]:
         count, voc = np.where(found, p.counts[at], -1), np.where(found, p.word[at], -1)
     else:
         count = voc = np.full(len(h), -1)
-    sym = voc.astype(np.int32)
+    sym, context = voc.astype(np.int64), voc.astype(np.int64)
     rare = np.flatnonzero(voc < 0)
     words = list(ids)
     sym[rare] = [s.vocab + zlib.crc32(words[i][-2:]) % s.tails for i in rare.tolist()]
+    context[rare] = [s.vocab + zlib.crc32(words[i][-3:]) % s.suffixes for i in rare.tolist()]
     n = np.array(n)
     ends = np.cumsum(n)
-    y = sym[flat]
-    first = ends - n
-    none = s.vocab + s.tails  # start symbols: none for the first word's last, none + 1 for the last but one
-    a, b = np.roll(y, 1), np.roll(y, 2)
-    a[first] = none
-    b[first] = none + 1
-    b[np.minimum(first + 1, ends - 1)[n > 1]] = none
-    b[first] = none + 1
-    return {"n": n, "ends": ends, "h": h, "flat": flat, "count": count, "y": y, "code": a << (2 * SYMBOL_BITS) | b << SYMBOL_BITS | y}
+    y, around = sym[flat], context[flat]
+    pos = np.arange(len(flat)) - np.repeat(ends - n, n)
+    none = s.vocab + s.suffixes  # start symbols: none right before the text, none + 1 further before
+    code = np.zeros(len(flat), np.int64)
+    for k in (3, 1, 2):
+        code = code << s.context_bits | np.where(pos >= k, np.roll(around, k), none + np.minimum(k - pos - 1, 1))
+    return {"n": n, "ends": ends, "h": h, "flat": flat, "count": count, "y": y, "code": code << s.word_bits | y}
 
 
 def decode(code: np.ndarray, p: Params) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Of trigram codes: feature rows (n, 3), class, place in the class or -1."""
-    low = (1 << SYMBOL_BITS) - 1
-    a, b, y = code >> (2 * SYMBOL_BITS), code >> SYMBOL_BITS & low, code & low
+    """Of codes: feature rows (n, 4), class, place in the class or -1."""
     s = p.shape
-    mix = lambda x, k: ((x.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15) + np.uint64(k * 0xC2B2AE3D27D4EB4F % (1 << 64))) >> np.uint64(64 - (s.rows - 1).bit_length())).astype(np.uint16)
+    low, rest = (1 << s.context_bits) - 1, code >> s.word_bits
+    y, b, a, c = code & ((1 << s.word_bits) - 1), rest & low, rest >> s.context_bits & low, rest >> 2 * s.context_bits
+    mix = lambda x, k: ((x.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15) + np.uint64(k * 0xC2B2AE3D27D4EB4F % (1 << 64))) >> np.uint64(64 - (s.rows - 1).bit_length())).astype(s.row_type)
     cls, place = s.heads + y - s.vocab, np.full(len(y), -1, np.int32)
     own = np.flatnonzero(y < s.vocab)
     cls[own], place[own] = p.cls[y[own]], p.place[y[own]]
-    return np.stack((mix(a, 1), mix(b, 2), mix(a << SYMBOL_BITS | b, 3)), axis=1), cls, place
+    return np.stack((mix(a, 1), mix(b, 2), mix(a << s.context_bits | b, 3), mix(c, 4)), axis=1), cls, place
 
 
 def word_features(f: np.ndarray, cls: np.ndarray, rows: int) -> np.ndarray:
     """(n, 2) rows of the table of words in a class: the last word and the skip, each with the class."""
-    return ((f[:, :2].astype(np.int64) * 31 + cls[:, None].astype(np.int64) * 7919) % rows).astype(np.uint16)
+    return ((f[:, :2].astype(np.int64) * 31 + cls[:, None].astype(np.int64) * 7919) % rows).astype(f.dtype)
 
 
 def _soft(z: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -193,7 +214,7 @@ def train_batch(p: Params, met: tuple[np.ndarray, np.ndarray], code: np.ndarray,
 
 
 def log_probs(p: Params, code: np.ndarray, batch: int = 16384) -> np.ndarray:
-    """Natural log of the chance of class and place of each trigram's last symbol."""
+    """Natural log of the chance of class and place of each code's own symbol."""
     out = np.empty(len(code))
     for lo in range(0, len(code), batch):
         f, cls, place = decode(code[lo : lo + batch], p)
@@ -275,7 +296,8 @@ def start(counts: DataFrame, shape: Shape) -> Params:
 
 
 def trigrams(docs: DataFrame, text_col: str, p: Params, most: int = 4_000_000) -> DataFrame:
-    """code, c: how often each trigram of symbols occurs; combined within tasks first."""
+    """code, c: how often each word's symbol occurs after those of the three before. Counts are combined within
+    a task only: most codes are met once, and a second row of a code trains as well as a larger count."""
     none = np.zeros((0, 0), np.float32)
     sent = docs.sparkSession.sparkContext.broadcast(Params(**(vars(p) | {"class_rows": none, "word_rows": none})))
 
@@ -285,7 +307,8 @@ def trigrams(docs: DataFrame, text_col: str, p: Params, most: int = 4_000_000) -
         def out() -> pa.RecordBatch:
             code, c = np.unique(np.concatenate(held), return_counts=True)
             held.clear()
-            return pa.RecordBatch.from_arrays([pa.array(code.astype(np.int32)), pa.array(c.astype(np.int64))], names=["code", "c"])
+            mixed = np.random.default_rng(len(code)).permutation(len(code))  # batches of one context would train badly
+            return pa.RecordBatch.from_arrays([pa.array(code[mixed]), pa.array(c[mixed].astype(np.int32))], names=["code", "c"])
 
         for batch in batches:
             for _, texts in chunks(batch, 0):
@@ -297,11 +320,11 @@ def trigrams(docs: DataFrame, text_col: str, p: Params, most: int = 4_000_000) -
         if held:
             yield out()
 
-    return docs.select(text_col).mapInArrow(run, "code int, c long").groupBy("code").agg(F.sum("c").alias("c"))
+    return docs.select(text_col).mapInArrow(run, "code long, c int")
 
 
 def train(grams: DataFrame, p: Params, rounds: int = 3, trainers: int | None = None, blocks: int = 16, batch: int = 2048, rate: float = 1.0) -> Params:
-    """Rounds of gradient updates over the stored trigrams; trainers: shares a round has, by default the cluster's cores."""
+    """Rounds of gradient updates over the stored codes; trainers: shares a round has, by default the cluster's cores."""
     spark = grams.sparkSession
     trainers = trainers or min(max(2, spark.sparkContext.defaultParallelism), MOST_TRAINERS)
     per = p.shape.rows // blocks
@@ -354,9 +377,9 @@ def train(grams: DataFrame, p: Params, rounds: int = 3, trainers: int | None = N
 def score(docs: DataFrame, held_out, id_col: str = "doc_id", text_col: str = "text", shape: Shape | None = None, rounds: int = 2) -> DataFrame:
     """doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score; rows where held_out is true don't train."""
     spark = docs.sparkSession
-    shape = shape or Shape()
     learn = docs.where(~held_out).select(docs[text_col].alias("t"))
-    counts = stored(token_counts(learn, "t", shape.tails))
+    counts = stored(token_counts(learn, "t", (shape or Shape).tails))
+    shape = shape or Shape.of(counts.count())
     p = start(counts, shape)
     p = train(stored(trigrams(learn, "t", p)), p, rounds)
     sent = spark.sparkContext.broadcast(p)

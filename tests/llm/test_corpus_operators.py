@@ -120,6 +120,20 @@ def test_language_model_is_normalised(spark):
         assert np.exp(lm.log_probs(p, codes)).sum() == pytest.approx(1, abs=1e-4)
 
 
+def test_language_model_keeps_contexts_apart(spark):
+    """Rare words before a word differ by three bytes, the word three back counts, and sizes grow with the words."""
+    docs = spark.createDataFrame([(i, "a b c d") for i in range(9)], "doc_id long, text string")
+    p = lm.start(lm.token_counts(docs, "text"), lm.Shape())
+    code = lambda t: lm.read_chunk([t], p)["code"][-2:-1]  # noqa: E731  of the last word
+    rows = lambda t: lm.decode(code(t), p)[0][0].tolist()
+    assert rows(b"a xeed d")[0] != rows(b"a xaed d")[0]
+    one, other = rows(b"a b c d"), rows(b"d b c d")
+    assert one[:3] == other[:3] and one[3:] != other[3:]
+    small, large = lm.Shape.of(1000), lm.Shape.of(16 * lm.GROWS_FROM)
+    assert (small.vocab, small.heads, small.suffixes, small.rows) == (1000, 24, 1024, 1 << 15)
+    assert (large.vocab, large.heads, large.suffixes, large.rows) == (4000, 96, 4096, 1 << 17)
+
+
 def test_language_model_edges(odd_docs, no_docs):
     held = F.lit(False)
     assert lm.score(no_docs, held).count() == 0
