@@ -42,7 +42,7 @@ CASES = (
 def _report(t: Tables):
     pick = F.element_at(F.array(*[F.lit(c) for c in CASES]), (F.col("doc_id") % len(CASES) + 1).cast("int"))
     also = F.element_at(F.array(*[F.lit(c) for c in CASES]), (F.col("doc_id") * 7 % len(CASES) + 1).cast("int"))
-    return t.documents.select("doc_id", F.concat(F.substring("text", 1, 400), F.lit(".\n"), pick, F.lit(" "), also).alias("t"))
+    return t.documents.select("doc_id", F.concat("text", F.lit(".\n"), pick, F.lit(" "), also).alias("t"))
 
 
 REPORT = "d AS (SELECT doc_id, substr(text, 1, 400) || '.' || chr(10) || c[doc_id % 10 + 1] || ' ' || c[doc_id * 7 % 10 + 1] AS t FROM documents, (SELECT [" + ", ".join(sq(c) for c in CASES) + "] AS c))"
