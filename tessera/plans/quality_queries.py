@@ -316,7 +316,7 @@ def prior_studies(t: Tables) -> DataFrame:
 def phi_substring_theta(t: Tables) -> DataFrame:
     from tessera.operators.deid import substring_hits
 
-    lits = t.benchmark.select("item_id", F.substring("text", 1, 60).alias("lit"))
+    lits = t.benchmark.select("item_id", F.col("text").alias("lit"))
     hits = substring_hits(t.documents.select("doc_id", "text"), "text", lits, "lit")
     back = lits.where(F.length("lit") >= 5).select("item_id", F.upper("lit").alias("literal"))
     return hits.join(back, "literal").select("item_id", "doc_id")

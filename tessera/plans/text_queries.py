@@ -125,10 +125,9 @@ def text_scrub(t: Tables) -> DataFrame:
 
 @query(r"WITH d AS (SELECT doc_id, list_filter(string_split(substr(text, 1, 300), ' '), lambda w: regexp_full_match(w, '\w{4,}')) AS toks, substr(text, 1, 300) AS t FROM documents), f AS (SELECT doc_id, t, CASE WHEN len(toks) > 0 THEN toks[1] END AS w FROM d) SELECT doc_id, CASE WHEN w IS NULL THEN t ELSE regexp_replace(regexp_replace(t, '(?i)(^|[^\w\x{80}-\x{10FFFF}])' || w || '($|[^\w\x{80}-\x{10FFFF}])', '\1[ID]\2', 'g'), '(?i)(^|[^\w\x{80}-\x{10FFFF}])' || w || '($|[^\w\x{80}-\x{10FFFF}])', '\1[ID]\2', 'g') END AS scrubbed FROM f")
 def text_scrub_literals(t: Tables) -> DataFrame:
-    head = F.substring("text", 1, 300)
-    toks = F.filter(F.split(head, " "), lambda w: w.rlike(r"^\w{4,}$"))
+    toks = F.filter(F.split("text", " "), lambda w: w.rlike(r"^\w{4,}$"))
     word = F.when(F.size(toks) > 0, F.slice(toks, 1, 1)).otherwise(F.array().cast("array<string>"))
-    return t.documents.select("doc_id", tx.redact_literals(head, word, "[ID]")["text"].alias("scrubbed"))
+    return t.documents.select("doc_id", tx.redact_literals(F.col("text"), word, "[ID]")["text"].alias("scrubbed"))
 
 
 @query(r"WITH u AS (SELECT page_id, list_filter(list_transform(string_split(regexp_replace(url, '^\w+://', ''), '/'), lambda x: lower(trim(x))), lambda x: x <> '') AS p FROM pages) SELECT page_id, p[1] AS head, array_to_string(list_distinct([p[1]] || list_filter(p[2:], lambda x: x NOT IN ('right', 'left', 'mild', 'acute'))), '|') IS NOT NULL AS has_concepts, CAST(len(list_distinct([p[1]] || p[2:])) AS INTEGER) AS n FROM u")
@@ -139,4 +138,4 @@ def mesh_concepts(t: Tables) -> DataFrame:
 
 @query(r"SELECT doc_id, regexp_replace(regexp_replace(regexp_replace('XXXX, XXXX ' || substr(text, 1, 80), '(?:XXXX[\s,.]*){2,}', 'XXXX '), '\s+', ' ', 'g'), '^\s+|\s+$', '', 'g') AS normal FROM documents")
 def placeholder_normalise(t: Tables) -> DataFrame:
-    return t.documents.select("doc_id", tx.normalise_redactions(F.concat(F.lit("XXXX, XXXX "), F.substring("text", 1, 80))).alias("normal"))
+    return t.documents.select("doc_id", tx.normalise_redactions(F.concat(F.lit("XXXX, XXXX "), F.col("text"))).alias("normal"))

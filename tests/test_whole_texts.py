@@ -1,5 +1,7 @@
 """The text queries read whole texts: small tables against brute force."""
 
+import re
+
 import pytest
 
 from tessera.plans import catalogue
@@ -30,3 +32,23 @@ def test_findings_after_the_first_400_characters(spark, tables):
     assert states == {(0, "PNEUMOTHORAX"): False, (10, "PNEUMOTHORAX"): True, (20, "PNEUMOTHORAX"): False, (20, "PLEURAL_EFFUSION"): False}
     found = {r.doc_id: (r.findings, r.denied) for r in catalogue.QUERIES["text_findings"](spark, d).collect()}
     assert found == {0: ("", "PNEUMOTHORAX"), 10: ("PNEUMOTHORAX", ""), 20: ("", "PLEURAL_EFFUSION,PNEUMOTHORAX")}
+
+
+def test_literals_after_the_first_300_characters(spark, tables):
+    texts = ["an Orchid " + FAR + "orchid. Orchids", "a b c " * 60 + "Tulip tulip, end", "a b"]
+    got = {r.doc_id: r.scrubbed for r in catalogue.QUERIES["text_scrub_literals"](spark, tables(documents=docs(*texts))).collect()}
+    for i, t in enumerate(texts):
+        word = next((w for w in t.split(" ") if re.fullmatch(r"\w{4,}", w)), None)
+        assert got[i * 10] == (re.sub(rf"(?i)(?<!\w){word}(?!\w)", "[ID]", t) if word else t)
+    assert got[0].endswith("[ID]. Orchids") and got[10].endswith("[ID] [ID], end")
+
+
+def test_placeholders_after_the_first_80_characters(spark, tables):
+    got = [r.normal for r in catalogue.QUERIES["placeholder_normalise"](spark, tables(documents=docs(FAR + "XXXX, XXXX. XXXX  end"))).collect()]
+    assert got == ["XXXX " + FAR + "XXXX end"]
+
+
+def test_literals_of_more_than_60_characters(spark, tables):
+    item = "An Opening Of Many Words " * 4 + "and its end"
+    d = tables(documents=docs(FAR + item.lower(), FAR + item[:80]), benchmark=([(7, item), (8, "none")], "item_id long, text string"))
+    assert [tuple(r) for r in catalogue.QUERIES["phi_substring_theta"](spark, d).collect()] == [(7, 0)]
