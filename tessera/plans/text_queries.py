@@ -118,7 +118,8 @@ OFF_SQL = "CAST(doc_id % 400 AS INTEGER) - 500"
 
 @query(f"SELECT doc_id, 'Patient Name: [ID]' || chr(10) || 'MRN : [ID]' || chr(10) || 'Seen by [NAME] on ' || strftime(DATE '2024-04-12' + ({OFF_SQL}), '%d-%m-%Y') || ' and ' || strftime(DATE '2024-03-03' + ({OFF_SQL}), '%d-%m-%Y') || '.' || chr(10) || 'Age/Sex: 89+ F' || chr(10) || '[NAME] was [INSTITUTION] ' || lang AS scrubbed, CAST(7 AS INTEGER) AS n FROM documents")
 def text_scrub(t: Tables) -> DataFrame:
-    text = F.concat(F.lit(HEADER + "Jane was Sunrise "), F.col("lang"))
+    own = [F.coalesce(c, F.lit("")) for c in ("lang", "text")]
+    text = F.concat(F.lit(HEADER + "Jane was Sunrise "), own[0], F.lit("\n"), own[1])
     x = tx.scrub(text, F.array(F.lit("DOE^JANE")), F.array(F.lit("0012345")), F.array(F.lit("Sunrise")), (F.col("doc_id") % 400).cast("int") - 500)
     return t.documents.select("doc_id", x.alias("x")).select("doc_id", F.col("x.text").alias("scrubbed"), "x.n")
 

@@ -1,5 +1,6 @@
 """The text queries read whole texts: small tables against brute force."""
 
+import datetime
 import re
 
 import pytest
@@ -52,3 +53,14 @@ def test_literals_of_more_than_60_characters(spark, tables):
     item = "An Opening Of Many Words " * 4 + "and its end"
     d = tables(documents=docs(FAR + item.lower(), FAR + item[:80]), benchmark=([(7, item), (8, "none")], "item_id long, text string"))
     assert [tuple(r) for r in catalogue.QUERIES["phi_substring_theta"](spark, d).collect()] == [(7, 0)]
+
+
+def test_scrub_reads_the_documents(spark, tables):
+    """Labelled fields, literals, doctors, phones and dates of the document go, beside the seven of the header."""
+    far = "Name: ROE^RICHARD\nDr. Anil Kumar saw jane on 2024-05-06, call 98765 43210. MRN 0012345"
+    got = {r.doc_id: (r.scrubbed, r.n) for r in catalogue.QUERIES["text_scrub"](spark, tables(documents=docs(FAR + "\n" + far, "plain", None))).collect()}
+    head = "Patient Name: [ID]\nMRN : [ID]\nSeen by [NAME] on {} and {}.\nAge/Sex: 89+ F\n[NAME] was [INSTITUTION] en\n"
+    day = lambda i, *d: (datetime.date(*d) + datetime.timedelta(i - 500)).strftime("%d-%m-%Y")
+    heads = [head.format(day(i, 2024, 4, 12), day(i, 2024, 3, 3)) for i in (0, 10, 20)]
+    assert got[0] == (heads[0] + FAR + f"\nName: [ID]\n[NAME] saw [NAME] on {day(0, 2024, 5, 6)}, call [PHONE]. MRN [ID]", 13)
+    assert got[10] == (heads[1] + "plain", 7) and got[20] == (heads[2], 7)
