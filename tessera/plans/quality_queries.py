@@ -180,7 +180,7 @@ def vocabulary_coverage(t: Tables) -> DataFrame:
 
 @query("WITH w AS (SELECT unnest(string_split_regex(lower(text), '[^a-z]+')) AS term FROM documents WHERE lang = 'en') SELECT term, count(*) AS n FROM w WHERE term <> '' GROUP BY 1 ORDER BY n DESC, term LIMIT 20")
 def topk_terms(t: Tables) -> DataFrame:
-    w = t.documents.where("lang = 'en'").select(F.explode(F.split(F.lower("text"), "[^a-z]+")).alias("term")).where("term != ''")
+    w = t.documents.select(F.explode(F.split(F.lower("text"), r"[^\p{L}]+")).alias("term")).where("term != ''")
     return w.groupBy("term").agg(F.count("*").alias("n")).orderBy(F.desc("n"), "term").limit(20)
 
 

@@ -1,5 +1,6 @@
 """The text queries read whole texts: small tables against brute force."""
 
+import collections
 import datetime
 import re
 
@@ -64,3 +65,11 @@ def test_scrub_reads_the_documents(spark, tables):
     heads = [head.format(day(i, 2024, 4, 12), day(i, 2024, 3, 3)) for i in (0, 10, 20)]
     assert got[0] == (heads[0] + FAR + f"\nName: [ID]\n[NAME] saw [NAME] on {day(0, 2024, 5, 6)}, call [PHONE]. MRN [ID]", 13)
     assert got[10] == (heads[1] + "plain", 7) and got[20] == (heads[2], 7)
+
+
+def test_terms_of_all_languages(spark, tables):
+    texts = ["the the cat", "le café, l'été", "für Öl 3x", "слово the", None]
+    rows = [(i, t, lang) for i, (t, lang) in enumerate(zip(texts, ("en", "fr", "de", None, "en")))]
+    want = collections.Counter(w for t in texts if t for w in re.findall(r"[^\W\d_]+", t.lower()))
+    got = {r.term: r.n for r in catalogue.QUERIES["topk_terms"](spark, tables(documents=(rows, "doc_id long, text string, lang string"))).collect()}
+    assert got == want
