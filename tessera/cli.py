@@ -99,7 +99,7 @@ def main(argv: list[str] | None = None) -> int:
         w.log("reports", reports=r.count(), redactions=r.agg(F.sum("redaction_count")).first()[0] or 0)
     elif a.command == "harmonize":
         rules = delivery.Rules.of(files.load_sites(a.sites))
-        for name, df in delivery.harmonise(spark, w.get("known"), w.get("reports"), rules, root).items():
+        for name, df in delivery.harmonise(spark, w.get("known"), w.get("reports"), rules, root, w.get("images")).items():
             w.put(df, f"canonical/{name}")
         w.log("harmonize", unmapped=w.get("canonical/unmapped").count())
     elif a.command == "catalog":

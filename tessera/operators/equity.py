@@ -24,7 +24,7 @@ def prevalence(studies: DataFrame, labels: DataFrame, findings: list[str]) -> Da
     """stratum, n_studies, finding, n, rate: distinct studies with a finding; a finding no study has is 0."""
     size = studies.groupBy("stratum").agg(F.count_distinct("study").alias("n_studies"))
     has = studies.select("study", "stratum").distinct().join(labels.select("study", "finding").distinct(), "study").groupBy("stratum", "finding").agg(F.count("*").alias("n"))
-    grid = size.withColumn("finding", F.explode(F.array(*map(F.lit, findings))))
+    grid = size.withColumn("finding", F.explode(F.array(*map(F.lit, findings)).cast("array<string>")))
     return grid.join(has, ["stratum", "finding"], "left").select("stratum", "n_studies", "finding", F.coalesce("n", F.lit(0)).cast("long").alias("n"), (F.coalesce("n", F.lit(0)) / F.col("n_studies")).alias("rate"))
 
 

@@ -13,6 +13,10 @@ from tessera.functions.mapping import RuleSet
 from tessera.operators import deid, equity, harmonize, ingest, pixels, qc, splits
 from tessera.sources import dicom, files
 
+#: What the header knows to look for in the prose.
+NAMES = ("PatientName", "ReferringPhysicianName", "PerformingPhysicianName", "NameOfPhysiciansReadingStudy")
+IDS = ("PatientID", "OtherPatientIDs", "AccessionNumber", "PatientTelephoneNumbers")
+INSTITUTIONS = ("InstitutionName", "InstitutionAddress", "StationName")
 REQUIRED = ("SOPInstanceUID", "StudyInstanceUID", "SeriesInstanceUID", "PatientID")
 
 
@@ -67,16 +71,20 @@ def clean_images(spark: SparkSession, root: str, known: DataFrame) -> DataFrame:
 def process_reports(known: DataFrame) -> DataFrame:
     """study_uid, site_id, text, sections, findings, denied, redaction_count of objects with a report."""
     rows = known.where("report IS NOT NULL")
-    names = F.array("PatientName", F.replace("PatientName", F.lit("^"), F.lit(" ")))
-    x = tx.scrub(F.col("report"), names, F.array("PatientID", "OtherPatientIDs", "AccessionNumber"), F.array().cast("array<string>"), F.col("offset"))
+    names = F.array(*NAMES, *[F.replace(n, F.lit("^"), F.lit(" ")) for n in NAMES])
+    x = tx.scrub(F.col("report"), names, F.array(*IDS), F.array(*INSTITUTIONS), F.col("offset"))
     rows = rows.withColumn("_x", x).select("study_uid", "site_id", "source_path", F.col("_x.text").alias("text"), F.col("_x.n").alias("redaction_count"))
     rows = rows.withColumn("sections", tx.sections(F.col("text")))
     rows = rows.withColumn("_l", tx.extract_labels(tx.clinical_text(F.col("sections"))))
     return rows.select("study_uid", "site_id", "source_path", "text", "sections", F.col("_l.findings").alias("findings"), F.col("_l.denied").alias("denied_findings"), "redaction_count")
 
 
-def harmonise(spark: SparkSession, known: DataFrame, reports: DataFrame, rules: Rules, root: str) -> dict[str, DataFrame]:
-    """The canonical tables, and unmapped: values no rule maps. Study dates are the shifted ones."""
+def harmonise(spark: SparkSession, known: DataFrame, reports: DataFrame, rules: Rules, root: str, images: DataFrame | None = None) -> dict[str, DataFrame]:
+    """The canonical tables, and unmapped: values no rule maps. Study dates are the shifted ones.
+
+    images: what clean_images gave, made from root if not given; an instance without a cleaned image keeps its
+    header's photometric interpretation, and whether it was redacted is null.
+    """
     facts = deid.facts(known).join(known.select("source_path", "pseudo_id", "offset", "study_uid", "series_uid", "sop_uid", "sha256", "PatientBirthDate", "PhotometricInterpretation"), "source_path")
     facts = harmonize.require_sites(facts, rules.view)
     for native, table, out in (("view_native", rules.view, "view_position"), ("laterality_native", rules.laterality, "laterality"), ("sex_native", rules.sex, "sex")):
@@ -86,7 +94,13 @@ def harmonise(spark: SparkSession, known: DataFrame, reports: DataFrame, rules:
     rows = facts.select(F.col("pseudo_id").alias("pseudo_patient_id"), "study_uid", "series_uid", "sop_uid", "site_id", F.col("source_path").alias("relative_path"), "sha256", "sex", "age_years", "study_date", "modality", "body_part", "view_position", "laterality")
     out = harmonize.entities(rows)
     out["patients"] = out["patients"].withColumnRenamed("pseudo_patient_id", "pseudo_id")
-    out["instances"] = out["instances"].join(facts.select("sop_uid", F.lit("MONOCHROME2").alias("photometric_interpretation"), F.lit(False).alias("pixel_redacted")).distinct(), "sop_uid", "left")
+    if images is None and root:
+        images = clean_images(spark, root, known)
+    seen = facts.select("source_path", F.upper(tx.strip(F.col("PhotometricInterpretation"))).alias("_header"))
+    seen = seen.join(images.select("source_path", (F.size("regions") > 0).alias("pixel_redacted")), "source_path", "left") if images is not None else seen.withColumn("pixel_redacted", F.lit(None).cast("boolean"))
+    upright = F.col("pixel_redacted").isNotNull() & (F.col("_header") == "MONOCHROME1")  # clean() turned these
+    seen = seen.select(F.col("source_path").alias("relative_path"), F.when(upright, "MONOCHROME2").otherwise(F.col("_header")).alias("photometric_interpretation"), "pixel_redacted")
+    out["instances"] = out["instances"].join(seen, "relative_path", "left")
     channels = [reports.select("study_uid", F.explode("findings").alias("finding"), F.lit("REPORT_RULE").alias("source"), F.lit(None).cast("string").alias("native"), F.lit(True).alias("present"))]
     denied = reports.select("study_uid", F.explode("denied_findings").alias("finding"), F.lit("REPORT_RULE").alias("source"), F.lit(None).cast("string").alias("native"), F.lit(False).alias("present"))
     channels.append(denied)
@@ -115,7 +129,9 @@ def quality(tables: dict[str, DataFrame], quarantine: DataFrame) -> DataFrame:
     j = tables["studies"].join(tables["patients"], F.col("pseudo_patient_id") == F.col("pseudo_id"))
     cohort = j.select(F.col("study_uid").alias("study"), F.col("pseudo_patient_id").alias("patient"), equity.stratum_key(F.col("site_id"), F.col("sex"), F.col("age_years")).alias("stratum"))
     strata = equity.strata(cohort)
-    rates = equity.prevalence(cohort, tables["labels"].where("present").select(F.col("study_uid").alias("study"), "finding"), ["CARDIOMEGALY", "PLEURAL_EFFUSION", "PNEUMOTHORAX", "CONSOLIDATION"])
+    present = tables["labels"].where("present").select(F.col("study_uid").alias("study"), "finding")
+    found = sorted(r["finding"] for r in present.select("finding").distinct().collect())  # as many as the vocabulary has
+    rates = equity.prevalence(cohort, present, found)
     return qc.report(qc.standard_checks(tables | {"quarantine": quarantine, "strata": strata, "gaps": equity.parity_gaps(rates)}))
 
 

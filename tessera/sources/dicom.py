@@ -23,6 +23,8 @@ KEYWORDS = {
     "Laterality": "00200060", "ImageComments": "00204000", "StudyDate": "00080020", "ContentDate": "00080023", "AcquisitionDate": "00080022",
     "SOPInstanceUID": "00080018", "StudyInstanceUID": "0020000D", "SeriesInstanceUID": "0020000E", "SOPClassUID": "00080016", "PrivateDate": "00331001",
     "Rows": "00280010", "Columns": "00280011", "BitsStored": "00280101", "PhotometricInterpretation": "00280004",
+    "ReferringPhysicianName": "00080090", "PerformingPhysicianName": "00081050", "NameOfPhysiciansReadingStudy": "00081060", "PatientTelephoneNumbers": "00102154",
+    "InstitutionName": "00080080", "InstitutionAddress": "00080081", "StationName": "00081010",
 }
 PIXELS = "7FE00010"
 NUMBER = {"US": "<H", "SS": "<h", "UL": "<I", "SL": "<i", "FL": "<f", "FD": "<d"}

@@ -120,6 +120,33 @@ def test_reports_and_tables(spark, root, known, rules):
     assert delivery.assign_splits(tables, "v1", stratified=True).count() == s.count()
 
 
+def test_all_identifiers_of_the_header_leave_the_report(spark):
+    tags = {"PatientName": "ROE^RICHARD", "ReferringPhysicianName": "Menon^Priya", "PerformingPhysicianName": "Kumar^Anil", "NameOfPhysiciansReadingStudy": "Shah^Rekha", "PatientID": "MRN77", "OtherPatientIDs": "ABHA99", "AccessionNumber": "ACC55", "PatientTelephoneNumbers": "555-123", "InstitutionName": "Sunrise Hospital", "InstitutionAddress": "12 Lake Road", "StationName": "XR7"}
+    assert set(tags) <= set(dicom.KEYWORDS)
+    said = "FINDINGS:\n" + ". ".join(v.replace("^", " ") for v in tags.values())
+    row = {"study_uid": "1", "site_id": "A", "source_path": "p", "report": said, "offset": -5} | tags
+    text = delivery.process_reports(spark.createDataFrame([row]).withColumn("offset", F.col("offset").cast("int"))).first().text
+    assert not [w for v in tags.values() for w in v.split("^") if w in text] and "[INSTITUTION]" in text
+
+
+def test_pixel_results_and_all_findings_are_checked(spark, root, known, rules):
+    reports = delivery.process_reports(known[0])
+    tables = delivery.harmonise(spark, known[0], reports, rules, f"file://{root}")
+    rows = tables["instances"].select("relative_path", "pixel_redacted", "photometric_interpretation").collect()
+    done = {r.source_path: len(r.regions) > 0 for r in delivery.clean_images(spark, f"file://{root}", known[0]).collect()}
+    assert {r.relative_path: r.pixel_redacted for r in rows} == done and any(done.values())
+    assert {r.photometric_interpretation for r in rows} == {"MONOCHROME2"}
+    bare = delivery.harmonise(spark, known[0], reports, rules, "x", images=spark.createDataFrame([], "source_path string, regions array<int>"))
+    assert {r[0] for r in bare["instances"].select("photometric_interpretation").collect()} == {"MONOCHROME1", "MONOCHROME2"}
+    # 40 studies a stratum, all fractures in one of two
+    studies = spark.createDataFrame([(f"s{i}", f"p{i}", "A", None, "CHEST") for i in range(80)], "study_uid string, pseudo_patient_id string, site_id string, study_date date, body_part string")
+    patients = spark.createDataFrame([(f"p{i}", "MF"[i % 2], 50) for i in range(80)], "pseudo_id string, sex string, age_years int")
+    labels = spark.createDataFrame([(f"s{i}", "FRACTURE", True) for i in range(0, 80, 2)], "study_uid string, finding string, present boolean")
+    report = delivery.quality(tables | {"studies": studies, "patients": patients, "labels": labels}, known[1])
+    got = {r.check: (r.n_bad, r.passed) for r in report.collect()}
+    assert got["finding_prevalence_parity"] == (1, False) and got["pixel_redaction_recorded"][0] == sum(done.values())
+
+
 def test_sites_without_rules_are_named(spark, known, rules):
     part = delivery.Rules({"SITE_A": rules.view["SITE_A"]}, rules.laterality, rules.sex, {})
     with pytest.raises(Exception, match="configs/sites/site_"):
