@@ -4,19 +4,24 @@ P(word | before) = P(class | before) * P(word | class, before). The `vocab` most
 are dealt to `heads` classes of near even mass; all other words fall by their last two bytes into `tails`
 classes, in which a word has its smoothed share of counts. Both factors of a frequent word, and the class
 of a rare one, are log-linear in hashed features of the three words before: the last word, the last but
-one (a skip), both together, and the last but two. Before a word, a frequent word stands for itself and
-a rare one for its last three bytes. Weights start from the counts and are trained by distributed gradient
-updates on the counts of all words with the three before: in each round every trainer goes through its
-share in minibatches, and the changes are averaged by how often each feature row was met. Counts,
-gradients and scores cover all documents. Vocabulary, contexts and feature tables grow with the square root
-of the number of distinct words, up to MOST_GROWTH times; `known`, the hashed words that are broadcast, is fixed.
+one (a skip), both together, and the last but two. Before a word, the `contexts` most frequent words stand
+for themselves and others for their last three bytes.
+
+Training runs on the counts of all words with the three before. Weights start from sums over all trainers:
+a feature's weight for a class is START times the log of how much likelier the class is where the feature
+holds. Then come rounds of distributed gradient updates: every trainer goes through its share in
+minibatches, and the changes are averaged by how often each feature row was met. Counts, gradients and
+scores cover all documents. Contexts and feature tables grow with the square root of the number of
+distinct words, the vocabulary with its fourth root, up to MOST_GROWTH; `known`, the hashed words that
+are broadcast, is fixed.
 
 Base model: sum over tokens of log10((c + 0.1) / (N + 0.1 (V + 1))). Words outside the broadcast table get
 their counts by a join, so both scores are exact in the counts whatever the vocabulary's size.
 
 Defined cases: null and empty texts have one token, the end; with nothing to train on N is 0 and all
 words are unknown; repeated rows are scored alike; an empty table gives no rows. Words are told apart by
-64-bit hashes.
+64-bit hashes. How many trainers share the work follows from the number of counts, not from the cluster;
+which counts a trainer gets, and so the last digits of `score`, follows from how the input is split into tasks.
 """
 
 from __future__ import annotations
@@ -44,8 +49,15 @@ SMOOTH = 0.1
 #: Distinct words for which Shape's own sizes are meant, and how far they grow.
 GROWS_FROM = 400_000
 MOST_GROWTH = 8
-#: Each trainer sends its tables' changes once a round, a few MB.
+#: Each trainer sends its tables' changes once a round, a few MB; it has so many counts at least.
 MOST_TRAINERS = 64
+LEAST_TRAINERS = 8
+TRAINER_ROWS = 2_000_000
+#: Share of the log ratio of counts that a weight starts with (features overlap), and the pseudo-count of what is expected.
+START = 0.4
+PRIOR = 4.0
+#: How much each earlier meeting of a feature row in a round calms its next step.
+SETTLE = 0.1
 
 
 def word_hash(w: bytes) -> int:
@@ -75,16 +87,25 @@ class Shape:
     vocab: int = 1000
     heads: int = 24
     tails: int = 56
-    suffixes: int = 1024
+    contexts: int = 8000
+    suffixes: int = 2048
     known: int = 1 << 19
-    rows: int = 1 << 15
+    rows: int = 1 << 16
     width: int = 64
 
     @classmethod
     def of(cls, distinct: int) -> Shape:
-        """The sizes for so many distinct words; rows stay a power of two."""
+        """The sizes for so many distinct words; rows stay a power of two, and a code within 63 bits."""
         by = min(max(1.0, math.sqrt(distinct / GROWS_FROM)), MOST_GROWTH)
-        return cls(vocab=round(cls.vocab * by), heads=round(cls.heads * by), suffixes=round(cls.suffixes * by), rows=cls.rows << int(math.log2(by)))
+        slow = math.sqrt(by)
+        return cls(
+            vocab=round(cls.vocab * slow),
+            heads=round(cls.heads * math.sqrt(slow)),
+            width=round(cls.width * math.sqrt(slow)),
+            contexts=round(cls.contexts * by),
+            suffixes=round(cls.suffixes * by),
+            rows=cls.rows << int(math.log2(by)) // 2,
+        )
 
     @property
     def word_bits(self) -> int:
@@ -92,7 +113,7 @@ class Shape:
 
     @property
     def context_bits(self) -> int:
-        return (self.vocab + self.suffixes + 2).bit_length()
+        return (self.contexts + self.suffixes + 2).bit_length()
 
     @property
     def row_type(self) -> type:
@@ -108,7 +129,7 @@ class Params:
     shape: Shape
     hashes: np.ndarray  # sorted hashes of the known words
     counts: np.ndarray
-    word: np.ndarray  # by known word: its place in the vocabulary or -1
+    word: np.ndarray  # by known word: its rank, or -1 from shape.contexts on
     cls: np.ndarray  # by vocabulary word: class, and place in the class
     place: np.ndarray
     class_bias: np.ndarray
@@ -139,15 +160,16 @@ def read_chunk(texts: list[bytes], p: Params) -> dict[str, np.ndarray]:
     else:
         count = voc = np.full(len(h), -1)
     sym, context = voc.astype(np.int64), voc.astype(np.int64)
-    rare = np.flatnonzero(voc < 0)
     words = list(ids)
+    rare = np.flatnonzero((voc < 0) | (voc >= s.vocab))
     sym[rare] = [s.vocab + zlib.crc32(words[i][-2:]) % s.tails for i in rare.tolist()]
-    context[rare] = [s.vocab + zlib.crc32(words[i][-3:]) % s.suffixes for i in rare.tolist()]
+    rare = np.flatnonzero(voc < 0)
+    context[rare] = [s.contexts + zlib.crc32(words[i][-3:]) % s.suffixes for i in rare.tolist()]
     n = np.array(n)
     ends = np.cumsum(n)
     y, around = sym[flat], context[flat]
     pos = np.arange(len(flat)) - np.repeat(ends - n, n)
-    none = s.vocab + s.suffixes  # start symbols: none right before the text, none + 1 further before
+    none = s.contexts + s.suffixes  # start symbols: none right before the text, none + 1 further before
     code = np.zeros(len(flat), np.int64)
     for k in (3, 1, 2):
         code = code << s.context_bits | np.where(pos >= k, np.roll(around, k), none + np.minimum(k - pos - 1, 1))
@@ -171,58 +193,81 @@ def word_features(f: np.ndarray, cls: np.ndarray, rows: int) -> np.ndarray:
     return ((f[:, :2].astype(np.int64) * 31 + cls[:, None].astype(np.int64) * 7919) % rows).astype(f.dtype)
 
 
-def _soft(z: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    z -= z.max(axis=1, keepdims=True)
-    e = np.exp(z)
-    t = e.sum(axis=1, keepdims=True)
-    return z - np.log(t), e / t
+def _exp_rows(z: np.ndarray) -> np.ndarray:
+    """exp of z in place, scaled by row so that nothing overflows; its row sums."""
+    if len(z) and z.max() > 60:
+        z -= z.max(axis=1, keepdims=True)
+    np.exp(z, out=z)
+    return z.sum(axis=1)
 
 
-def _sum_rows(table: np.ndarray, f: np.ndarray) -> np.ndarray:
-    z = table[f[:, 0]]
+def _sum_rows(table: np.ndarray, f: np.ndarray, bias: np.ndarray) -> np.ndarray:
+    z = table.take(f[:, 0], 0)
     for k in range(1, f.shape[1]):
-        z += table[f[:, k]]
+        z += table.take(f[:, k], 0)
+    z += bias
     return z
 
 
+def _sum_runs(x: np.ndarray, start: np.ndarray, n: np.ndarray) -> np.ndarray:
+    """Sums of runs of rows of x, in place: by halves, as adding whole rows at once is faster than a running sum."""
+    at = np.arange(len(x)) - np.repeat(start, n)
+    left = np.repeat(n, n) - at
+    step = 1
+    most = n.max() if len(n) else 0
+    while step < most:
+        i = np.flatnonzero((at % (2 * step) == 0) & (left > step))
+        x[i] += x.take(i + step, 0)
+        step *= 2
+    return x.take(start, 0)
+
+
 def _step(table: np.ndarray, met: np.ndarray, f: np.ndarray, g: np.ndarray, w: np.ndarray, rate: float, calm: float) -> None:
-    """Moves the rows f of table against gradients g of weights w, by their mean in the batch, less where a row is rarely met."""
-    flat = f.ravel()
-    order = np.argsort(flat, kind="stable")
-    rows = flat[order]
-    head = np.flatnonzero(np.append(True, rows[1:] != rows[:-1]))
-    from_ = order // f.shape[1]
-    total = np.add.reduceat(g[from_], head, axis=0)
-    n = np.add.reduceat(w[from_], head)
-    own = rows[head]
-    met[own] += n
-    table[own] -= rate * total / (n + calm)[:, None]
+    """Moves the rows f of table against gradients g of weights w, by their mean in the batch, less where a row is rarely met there and the more it was met before."""
+    for k in range(f.shape[1]):
+        order = np.argsort(f[:, k], kind="stable")
+        rows = f[order, k]
+        start = np.flatnonzero(np.append(True, rows[1:] != rows[:-1]))
+        own, n = rows[start], np.add.reduceat(w[order], start)
+        total = _sum_runs(g.take(order, 0), start, np.diff(np.append(start, len(rows))))
+        met[own] += n
+        total *= (-rate / (n + calm + SETTLE * met[own]))[:, None]
+        total += table.take(own, 0)
+        table[own] = total
 
 
 def train_batch(p: Params, met: tuple[np.ndarray, np.ndarray], code: np.ndarray, count: np.ndarray, rate: float, calm: float = 4.0) -> None:
+    def gradient(z: np.ndarray, own: np.ndarray, w: np.ndarray) -> np.ndarray:
+        z *= (w / _exp_rows(z))[:, None]
+        z[np.arange(len(own)), own] -= w
+        return z
+
     f, cls, place = decode(code, p)
     w = count.astype(np.float32)
-    _, g = _soft(_sum_rows(p.class_rows, f) + p.class_bias)
-    g[np.arange(len(cls)), cls] -= 1
+    g = gradient(_sum_rows(p.class_rows, f, p.class_bias), cls, w)
     own = np.flatnonzero(place >= 0)
     if len(own):
         wf = word_features(f[own], cls[own], p.shape.rows)
-        _, gw = _soft(_sum_rows(p.word_rows, wf) + p.word_bias[cls[own]])
-        gw[np.arange(len(own)), place[own]] -= 1
-        _step(p.word_rows, met[1], wf, gw * w[own, None], w[own], rate, calm)
-    _step(p.class_rows, met[0], f, g * w[:, None], w, rate, calm)
+        gw = gradient(_sum_rows(p.word_rows, wf, p.word_bias.take(cls[own], 0)), place[own], w[own])
+        _step(p.word_rows, met[1], wf, gw, w[own], rate, calm)
+    _step(p.class_rows, met[0], f, g, w, rate, calm)
 
 
-def log_probs(p: Params, code: np.ndarray, batch: int = 16384) -> np.ndarray:
+def log_probs(p: Params, code: np.ndarray, batch: int = 2048) -> np.ndarray:
     """Natural log of the chance of class and place of each code's own symbol."""
+
+    def chance(z: np.ndarray, own: np.ndarray) -> np.ndarray:
+        total = _exp_rows(z)
+        return np.log(np.maximum(z[np.arange(len(own)), own], np.finfo(np.float32).tiny)).astype(np.float64) - np.log(total)
+
     out = np.empty(len(code))
     for lo in range(0, len(code), batch):
         f, cls, place = decode(code[lo : lo + batch], p)
-        part = _soft(_sum_rows(p.class_rows, f) + p.class_bias)[0][np.arange(len(cls)), cls].astype(np.float64)
+        part = chance(_sum_rows(p.class_rows, f, p.class_bias), cls)
         own = np.flatnonzero(place >= 0)
         if len(own):
             wf = word_features(f[own], cls[own], p.shape.rows)
-            part[own] += _soft(_sum_rows(p.word_rows, wf) + p.word_bias[cls[own]])[0][np.arange(len(own)), place[own]]
+            part[own] += chance(_sum_rows(p.word_rows, wf, p.word_bias.take(cls[own], 0)), place[own])
         out[lo : lo + batch] = part
     return out
 
@@ -291,7 +336,7 @@ def start(counts: DataFrame, shape: Shape) -> Params:
     bias = np.log(np.concatenate((head_mass + SMOOTH, tail_mass)))
     order = np.argsort(h)
     word = np.full(len(h), -1, np.int32)
-    word[:k] = np.arange(k)
+    word[: shape.contexts] = np.arange(len(h))[: shape.contexts]
     return Params(shape, h[order], c[order], word[order], cls, place, (bias - bias.max()).astype(np.float32), word_bias, np.log10(tail_mass), np.zeros((shape.rows, shape.classes), np.float32), np.zeros((shape.rows, shape.width), np.float32), int(total), int(distinct))
 
 
@@ -323,21 +368,98 @@ def trigrams(docs: DataFrame, text_col: str, p: Params, most: int = 4_000_000) -
     return docs.select(text_col).mapInArrow(run, "code long, c int")
 
 
-def train(grams: DataFrame, p: Params, rounds: int = 3, trainers: int | None = None, blocks: int = 16, batch: int = 2048, rate: float = 1.0) -> Params:
-    """Rounds of gradient updates over the stored codes; trainers: shares a round has, by default the cluster's cores."""
+def start_weights(p: Params, met: np.ndarray, cls: np.ndarray, word: np.ndarray, heads: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Weights of feature rows from sums of counts: by class, by place in a class, and by the class of the places."""
+    prior = np.exp(p.class_bias.astype(np.float64))
+    prior /= prior.sum()
+    n = met[:, None].astype(np.float64)
+    by_class = START * np.log((cls + PRIOR * prior) / (n + PRIOR) / prior)
+    share = np.exp(p.word_bias.astype(np.float64))
+    share /= share.sum(axis=1, keepdims=True)
+    wanted, n = heads.astype(np.float64) @ share, np.maximum(heads.sum(axis=1, keepdims=True), 1)
+    tiny = 1e-6
+    by_word = START * np.log((word + PRIOR * wanted / n + tiny) / (wanted * (1 + PRIOR / n) + tiny))
+    return by_class, by_word
+
+
+def start_counts(p: Params, batches: Iterator[tuple[np.ndarray, np.ndarray]]) -> tuple[np.ndarray, ...]:
+    """Sums of counts by feature row: in all, and start_weights' three."""
+    s = p.shape
+    met, cls_n, word_n, head_n = (np.zeros(s.rows * k, np.float32) for k in (1, s.classes, s.width, s.heads))
+    for code, c in batches:
+        f, cls, place = decode(code, p)
+        w = c.astype(np.float32)
+        own = np.flatnonzero(place >= 0)
+        wf = word_features(f[own], cls[own], s.rows).astype(np.int64)
+        for k in range(f.shape[1]):
+            np.add.at(met, f[:, k], w)
+            np.add.at(cls_n, f[:, k].astype(np.int64) * s.classes + cls, w)
+        for k in range(wf.shape[1]):
+            np.add.at(word_n, wf[:, k] * s.width + place[own], w[own])
+            np.add.at(head_n, wf[:, k] * s.heads + cls[own], w[own])
+    return met, cls_n.reshape(s.rows, -1), word_n.reshape(s.rows, -1), head_n.reshape(s.rows, -1)
+
+
+def _pack(at: np.ndarray, *arrays: np.ndarray) -> list[bytes]:
+    """Row numbers, and the arrays' rows of these numbers."""
+    return [at.astype(np.int32).tobytes(), *[a[at].tobytes() for a in arrays]]
+
+
+def train(grams: DataFrame, p: Params, rounds: int = 1, trainers: int | None = None, blocks: int = 16, batch: int = 2048, rate: float = 1.0) -> Params:
+    """Starts the weights from the stored codes' counts, then rounds of gradient updates over them; trainers: shares of the codes."""
     spark = grams.sparkSession
-    trainers = trainers or min(max(2, spark.sparkContext.defaultParallelism), MOST_TRAINERS)
-    per = p.shape.rows // blocks
+    trainers = trainers or min(max(LEAST_TRAINERS, grams.count() // TRAINER_ROWS), MOST_TRAINERS)
+    shared, s = grams.coalesce(trainers), p.shape
+    per = s.rows // blocks
+    sizes = {"c": s.classes, "w": s.width}
+    change = "b int, t int, " + ", ".join(f"{x}_{t} binary" for t in "cw" for x in ("at", "n", "d"))
+    names = [x.split()[0] for x in change.split(", ")]
+    tables = (p.class_rows, p.word_rows)
+    parts = lambda batches: ((np.asarray(x.column(0)), np.asarray(x.column(1))) for x in batches)
+    row = lambda b, data, names: pa.RecordBatch.from_arrays([pa.array([b], pa.int32()), pa.array([TaskContext.get().partitionId()], pa.int32()), *[pa.array([d], pa.binary()) for d in data]], names=names)
+
+    def take(frame: DataFrame) -> None:
+        for g in frame.collect():
+            for table, t in zip(tables, "cw"):
+                at = np.frombuffer(g[f"at_{t}"], np.int32)
+                table[at] += np.frombuffer(g[f"d_{t}"], np.float16).reshape(len(at), table.shape[1])
+
+    # the tables are zero here; they are left out of what is sent
+    none = np.zeros((0, 0), np.float32)
+    sent = spark.sparkContext.broadcast(Params(**(vars(p) | {"class_rows": none, "word_rows": none, "hashes": none, "counts": none, "word": none})))
+    sums = ("at", "met", "cls", "word", "heads")
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        found = start_counts(sent.value, parts(batches))
+        used = (found[0] > 0) | (found[3].sum(axis=1) > 0)
+        for b in range(blocks):
+            yield row(b, _pack(np.flatnonzero(used[b * per : (b + 1) * per]) + b * per, *found), ["b", "t", *sums])
+
+    def begin(pdf: pd.DataFrame) -> pd.DataFrame:
+        """A block's weights, from all trainers' sums."""
+        widths = (1, s.classes, s.width, s.heads)
+        total = [np.zeros((per, k), np.float64) for k in widths]
+        for r in pdf.sort_values("t").itertuples():
+            at = np.frombuffer(r.at, np.int32) % per
+            for x, k, data in zip(total, widths, (r.met, r.cls, r.word, r.heads)):
+                x[at] += np.frombuffer(data, np.float32).reshape(-1, k)
+        lead, out = int(pdf["b"].iloc[0]) * per, []
+        for use, w in zip((total[0][:, 0] > 0, total[3].sum(axis=1) > 0), start_weights(sent.value, total[0][:, 0], *total[1:])):
+            own = np.flatnonzero(use)
+            out += [(own + lead).astype(np.int32).tobytes(), b"", w[own].astype(np.float16).tobytes()]
+        return pd.DataFrame([[pdf["b"].iloc[0], 0, *out]], columns=names)
+
+    take(shared.mapInArrow(count, "b int, t int, " + ", ".join(f"{x} binary" for x in sums)).groupBy("b").applyInPandas(begin, change))
+    sent.destroy()
     for r in range(rounds):
-        sent = spark.sparkContext.broadcast(p)
+        sent = spark.sparkContext.broadcast(Params(**(vars(p) | {"hashes": none, "counts": none, "word": none})))
         pace = rate / (1 + r)
 
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             old = sent.value  # noqa: B023
             new = Params(**(vars(old) | {"class_rows": old.class_rows.copy(), "word_rows": old.word_rows.copy()}))
-            met = (np.zeros(old.shape.rows, np.float32), np.zeros(old.shape.rows, np.float32))
-            for part in batches:
-                code, c = np.asarray(part.column(0)), np.asarray(part.column(1))
+            met = (np.zeros(s.rows, np.float32), np.zeros(s.rows, np.float32))
+            for code, c in parts(batches):
                 for lo in range(0, len(code), batch):
                     train_batch(new, met, code[lo : lo + batch], c[lo : lo + batch], pace)  # noqa: B023
             for b in range(blocks):
@@ -345,36 +467,27 @@ def train(grams: DataFrame, p: Params, rounds: int = 3, trainers: int | None = N
                 for after, before, n in ((new.class_rows, old.class_rows, met[0]), (new.word_rows, old.word_rows, met[1])):
                     own = np.flatnonzero(n[b * per : (b + 1) * per]) + b * per  # rows never met don't travel
                     data += [own.astype(np.int32).tobytes(), n[own].tobytes(), (after[own] - before[own]).astype(np.float16).tobytes()]
-                yield pa.RecordBatch.from_arrays([pa.array([b], pa.int32()), *[pa.array([d], pa.binary()) for d in data]], names=names)  # noqa: B023
+                yield row(b, data, names)
 
-        def add(pdf):
+        def add(pdf: pd.DataFrame) -> pd.DataFrame:
             """Of a block: the rows met by any trainer, and their mean changes weighed by how often each met them."""
-            out = {"b": [pdf["b"].iloc[0]]}
-            for t in "cw":
-                total, n = None, np.zeros(p.shape.rows, np.float64)
+            out, lead, pdf = [], int(pdf["b"].iloc[0]) * per, pdf.sort_values("t")
+            for t, width in sizes.items():
+                total, n = np.zeros((per, width), np.float32), np.zeros(per, np.float64)
                 for at, k, d in zip(pdf[f"at_{t}"], pdf[f"n_{t}"], pdf[f"d_{t}"]):
-                    at, k = np.frombuffer(at, np.int32), np.frombuffer(k, np.float32)
-                    if len(at):
-                        d = np.frombuffer(d, np.float16).reshape(len(at), -1).astype(np.float32)
-                        total = np.zeros((per, d.shape[1]), np.float32) if total is None else total
-                        total[at % per] += d * k[:, None]
-                        n[at] += k
-                at = np.flatnonzero(n)
-                out |= {f"at_{t}": [at.astype(np.int32).tobytes()], f"n_{t}": [n[at].astype(np.float32).tobytes()], f"d_{t}": [b"" if total is None else (total[at % per] / n[at, None]).astype(np.float16).tobytes()]}
-            return pd.DataFrame(out)
-
-        names = ["b", *[f"{x}_{t}" for t in "cw" for x in ("at", "n", "d")]]
-        schema = "b int, " + ", ".join(f"{x} binary" for x in names[1:])
-        for g in grams.coalesce(trainers).mapInArrow(run, schema).groupBy("b").applyInPandas(add, schema).collect():
-            for table, t in ((p.class_rows, "c"), (p.word_rows, "w")):
-                at = np.frombuffer(g[f"at_{t}"], np.int32)
-                if len(at):
-                    table[at] += np.frombuffer(g[f"d_{t}"], np.float16).reshape(len(at), -1)
+                    at, k = np.frombuffer(at, np.int32) % per, np.frombuffer(k, np.float32)
+                    total[at] += np.frombuffer(d, np.float16).reshape(-1, width).astype(np.float32) * k[:, None]
+                    n[at] += k
+                own = np.flatnonzero(n)
+                out += [(own + lead).astype(np.int32).tobytes(), b"", (total[own] / n[own, None]).astype(np.float16).tobytes()]
+            return pd.DataFrame([[pdf["b"].iloc[0], 0, *out]], columns=names)
+
+        take(shared.mapInArrow(run, change).groupBy("b").applyInPandas(add, change))
         sent.destroy()
     return p
 
 
-def score(docs: DataFrame, held_out, id_col: str = "doc_id", text_col: str = "text", shape: Shape | None = None, rounds: int = 2) -> DataFrame:
+def score(docs: DataFrame, held_out, id_col: str = "doc_id", text_col: str = "text", shape: Shape | None = None, rounds: int = 1) -> DataFrame:
     """doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score; rows where held_out is true don't train."""
     spark = docs.sparkSession
     learn = docs.where(~held_out).select(docs[text_col].alias("t"))

@@ -112,11 +112,11 @@ def test_language_model_joins_rare_words(spark):
 def test_language_model_is_normalised(spark):
     """Class and word chances of a context sum to 1 over all symbols."""
     df = spark.createDataFrame([(i, f"a b c a b d{i}") for i in range(30)], "doc_id long, text string")
-    shape = lm.Shape(vocab=5, heads=2, tails=3)
+    shape = lm.Shape(vocab=5, heads=2, tails=3, contexts=6)
     p = lm.start(lm.token_counts(df, "text", shape.tails), shape)
     p = lm.train(lm.trigrams(df, "text", p), p, rounds=2, trainers=2)
     for a, b in ((0, 1), (2, 0), (8, 9)):
-        codes = np.array([a << 20 | b << 10 | y for y in range(shape.vocab + shape.tails)])
+        codes = np.array([(a << shape.context_bits | b) << shape.word_bits | y for y in range(shape.vocab + shape.tails)])
         assert np.exp(lm.log_probs(p, codes)).sum() == pytest.approx(1, abs=1e-4)
 
 
@@ -130,8 +130,64 @@ def test_language_model_keeps_contexts_apart(spark):
     one, other = rows(b"a b c d"), rows(b"d b c d")
     assert one[:3] == other[:3] and one[3:] != other[3:]
     small, large = lm.Shape.of(1000), lm.Shape.of(16 * lm.GROWS_FROM)
-    assert (small.vocab, small.heads, small.suffixes, small.rows) == (1000, 24, 1024, 1 << 15)
-    assert (large.vocab, large.heads, large.suffixes, large.rows) == (4000, 96, 4096, 1 << 17)
+    assert (small.vocab, small.heads, small.contexts, small.suffixes, small.rows) == (1000, 24, 8000, 2048, 1 << 16)
+    assert (large.vocab, large.heads, large.contexts, large.suffixes, large.rows) == (2000, 34, 32000, 8192, 1 << 17)
+    most = lm.Shape.of(1 << 50)
+    assert 3 * most.context_bits + most.word_bits <= 63
+
+
+def test_language_model_scores_by_hand(spark, monkeypatch):
+    """score() against a token by token computation from the trained tables, and better than the base on held-out text."""
+    rng = random.Random(3)
+    pairs = {f"w{i}": [f"w{(7 * i + k) % 40}" for k in range(3)] for i in range(40)}
+
+    def text():
+        out = [f"w{rng.randrange(40)}"]
+        for _ in range(60):
+            out.append(rng.choice(pairs[out[-1]]) if rng.random() < 0.9 else f"x{rng.randrange(500)}")
+            if out[-1][0] == "x":
+                out.append(f"w{rng.randrange(40)}")
+        return " ".join(out)
+
+    docs = [(i, text()) for i in range(120)]
+    seen = []
+    train = lm.train
+    monkeypatch.setattr(lm, "train", lambda *a: seen.append(train(*a)) or seen[0])
+    shape = lm.Shape(vocab=30, heads=4, tails=3, contexts=60, suffixes=16, rows=256, width=16)
+    held = F.col("doc_id") % 4 == 0
+    got = {r.doc_id: r for r in lm.score(spark.createDataFrame(docs, "doc_id long, text string"), held, shape=shape).collect()}
+    p = seen[0]
+    c = collections.Counter(w for i, t in docs if i % 4 for w in [*t.encode().split(), b"\n"])
+    rank = {w: k for k, w in enumerate(sorted(c, key=lambda w: (-c[w], lm.word_hash(w))))}
+    tail = lambda w: zlib.crc32(w[-2:]) % 3
+    rest = [sum(c[w] for w in c if rank[w] >= 30 and tail(w) == k) + 0.1 * (sum(rank[w] >= 30 and tail(w) == k for w in c) + 1) for k in range(3)]
+
+    def row(x, k):
+        return ((x * 0x9E3779B97F4A7C15 + k * 0xC2B2AE3D27D4EB4F) % (1 << 64)) >> 56
+
+    def soft(z):
+        m = max(z)
+        return m + math.log(sum(math.exp(x - m) for x in z))
+
+    for i, t in docs[:20]:
+        words, total = [*t.encode().split(), b"\n"], 0.0
+        before = lambda w: rank[w] if rank.get(w, 99) < 60 else 60 + zlib.crc32(w[-3:]) % 16
+        for at, w in enumerate(words):
+            a, b, d = (before(words[at - k]) if at >= k else 76 + min(k - at - 1, 1) for k in (1, 2, 3))
+            f = [row(a, 1), row(b, 2), row(a << shape.context_bits | b, 3), row(d, 4)]
+            z = [float(p.class_bias[j]) + sum(float(p.class_rows[x, j]) for x in f) for j in range(7)]
+            r = rank.get(w, 99)
+            cls = int(p.cls[r]) if r < 30 else 4 + tail(w)
+            total += (z[cls] - soft(z)) / math.log(10)
+            if r < 30:
+                g = [(f[k] * 31 + cls * 7919) % 256 for k in (0, 1)]
+                z = [float(p.word_bias[cls, j]) + sum(float(p.word_rows[x, j]) for x in g) for j in range(16)]
+                total += (z[p.place[r]] - soft(z)) / math.log(10)
+            else:
+                total += math.log10((c[w] + 0.1) / rest[tail(w)])
+        assert got[i].score == pytest.approx(total, rel=1e-4)
+    won = [got[i].score - got[i].base_score for i, _ in docs if i % 4 == 0]
+    assert sum(won) > 0.2 * -sum(got[i].base_score for i, _ in docs if i % 4 == 0)
 
 
 def test_language_model_edges(odd_docs, no_docs):
