@@ -5,10 +5,13 @@ source is taken in complete epochs first; for the rest of its target its documen
 exponential keys -ln(u)/quality (smallest first; u is a hash of the id) and taken while the running sum
 of sizes stays within it. The running sum is split: sums by (source, key bucket) give each bucket's
 start, rows are then summed inside their bucket only, so a source of any size spreads over many tasks.
+There are as many buckets as keep those of the largest possible source at BUCKET_ROWS rows. Texts are read
+once: what the plan needs of a row is stored without its text.
 
 Defined cases: a null text has size 0; a document of size 0 is taken never and costs nothing; a null
 source is a source of its own; null or non-positive quality counts as 1; repeated ids share a key and
-are ordered by size and text hash; an empty table gives no rows; other columns are ignored.
+are ordered by size and text hash; a null id has a key of its text; an empty table gives no rows;
+other columns are ignored.
 """
 
 from __future__ import annotations
@@ -16,9 +19,12 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ._common import stored
+
 WORD = r"[^\x20\x09-\x0D]+"
-#: Key buckets a source's running sum is cut into.
+#: Least number of key buckets that a source's running sum is cut into, and rows of a bucket if one source held all.
 BUCKETS = 256
+BUCKET_ROWS = 50_000
 #: md5 digits of the seeded id that make u: 13 hex digits are 52 bits, exact in a double.
 DIGITS = 13
 
@@ -47,19 +53,22 @@ def source_targets(sizes: DataFrame, weights: tuple[float, ...], cap: float) ->
     return s.select("source", "source_size", F.coalesce(F.least("_cap", F.col("_t") * F.col("_w")), F.col("_cap")).alias("target"))
 
 
-def mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source", quality: DataFrame | None = None, weights: tuple[float, ...] = (1.0, 2.0, 3.0), cap: float = 3.0, seed: str = "mix", buckets: int = BUCKETS) -> DataFrame:
+def mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source", quality: DataFrame | None = None, weights: tuple[float, ...] = (1.0, 2.0, 3.0), cap: float = 3.0, seed: str = "mix", buckets: int | None = None) -> DataFrame:
     """doc_id, size, source, source_size, target, copies, taken for each row of docs.
 
     quality: (doc_id, weight), at most a row per id. copies: how often the mix repeats the document;
     taken = copies * size. Reruns agree, whatever the partitioning.
     """
-    rows = docs.select(docs[id_col].alias("doc_id"), word_count(docs[text_col]).alias("size"), docs[source_col].cast("string").alias("source"), F.xxhash64(docs[text_col]).alias("_tie"))
+    own = F.coalesce(docs[id_col].cast("string"), F.concat(F.lit("text "), F.xxhash64(docs[text_col]).cast("string")))
+    rows = docs.select(docs[id_col].alias("doc_id"), word_count(docs[text_col]).alias("size"), docs[source_col].cast("string").alias("source"), F.xxhash64(docs[text_col]).alias("_tie"), F.concat(F.lit(f"{seed}:"), own).alias("_name"))
+    rows = stored(rows)
+    buckets = buckets or max(BUCKETS, -(-rows.count() // BUCKET_ROWS))
     if quality is not None:
         q = quality.select(quality[quality.columns[0]].alias("doc_id"), quality[quality.columns[1]].cast("double").alias("_q"))
         rows = rows.join(q, "doc_id", "left")
     else:
         rows = rows.withColumn("_q", F.lit(1.0))
-    u = (F.conv(F.substring(F.md5(F.concat(F.lit(f"{seed}:"), F.coalesce(F.col("doc_id").cast("string"), F.lit("")))), 1, DIGITS), 16, 10).cast("double") + 0.5) / float(16**DIGITS)
+    u = (F.conv(F.substring(F.md5("_name"), 1, DIGITS), 16, 10).cast("double") + 0.5) / float(16**DIGITS)
     q = F.when(F.col("_q") > 0, F.col("_q")).otherwise(1.0)
     rows = rows.withColumn("_key", -F.log(u) / q)
     # 1 - exp(-key) is near uniform, so buckets are near even; it rises with the key

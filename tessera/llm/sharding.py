@@ -1,14 +1,17 @@
 """K-d tree sharding: groups of equal texts are split at distributed weighted medians.
 
-The points are groups of equal texts, weighed by the bytes of their rows. A node with k shards left
-splits its points along the widest metadata dimension where floor(k/2)/k of its bytes lie below, so
+The points are groups of equal texts, weighed by the bytes of their rows. Their dimensions are the size,
+the first id and the rank of each metadata value among its distinct values. A node with k shards left
+splits its points along the widest dimension where floor(k/2)/k of its bytes lie below, so
 leaves end at the target bytes. A group that alone reaches a shard's target gets a shard of its own
 first. Cut points come from histogram passes for all nodes of a level at once (BINS bins, then BINS bins
 inside the one bin that holds the cut, until it is close): what reaches the driver is a row per node.
 
 Defined cases: a null text counts as no bytes and is a group of its own, apart from the empty one;
-sizes are bytes + 1; ties along a dimension are cut by the group's hash; repeated rows stay together;
-an empty table gives no rows; other columns of any name are ignored.
+sizes are bytes + 1; null metadata comes before all other; a dimension in which all of a node's points
+agree has no width there; ties along a dimension are cut by the group's hash; ids that aren't whole numbers
+are placed by their hash; repeated rows stay together; rows alike in all columns have interchangeable
+slots; an empty table gives no rows; other columns of any name are ignored.
 """
 
 from __future__ import annotations
@@ -25,25 +28,66 @@ BINS = 4096
 CLOSE = 0.002
 
 
+#: A group with this share of all rows is hot; so there are at most 1 / HOT hot groups.
+HOT = 1 / 256
+#: Up to so many distinct metadata values, of so many bytes in all, their ranks are broadcast; beyond, the join is shuffled.
+SENT_VALUES = 100_000
+SENT_BYTES = 8 << 20
+#: Parts in which a hot metadata value is spread where ranks are joined by a shuffle.
+SALTS = 32
+
+
+def ranks(points: DataFrame, value: str, parts: int = 64) -> DataFrame:
+    """value, rank: from 1 by code point; sorted by ranges, so no task holds all values."""
+    values = points.where(F.col(value).isNotNull()).groupBy(value).agg(F.lit(1).alias("_one")).select(value)
+    values = stored(values.repartitionByRange(parts, value).select(value, F.spark_partition_id().alias("_p")))
+    counts = values.groupBy("_p").agg(F.count("*").alias("_c"))  # a row per range
+    before = counts.select("_p", (F.sum("_c").over(Window.orderBy("_p")) - F.col("_c")).alias("_before"))
+    inside = F.row_number().over(Window.partitionBy("_p").orderBy(value))
+    return values.withColumn("_i", inside).join(F.broadcast(before), "_p").select(value, (F.col("_before") + F.col("_i")).alias("rank"))
+
+
+def _with_rank(points: DataFrame, value: str, out: str) -> DataFrame:
+    found = stored(ranks(points, value))
+    size = found.agg(F.count("*").alias("n"), F.coalesce(F.sum(F.octet_length(value)), F.lit(0)).alias("b")).first()
+    if size["n"] <= SENT_VALUES and size["b"] <= SENT_BYTES:
+        joined = points.join(F.broadcast(found), value, "left")
+    else:
+        spread = found.withColumn("_salt", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(SALTS - 1).cast("long"))))
+        joined = points.withColumn("_salt", F.pmod(F.xxhash64("_g"), F.lit(SALTS))).join(spread, [value, "_salt"], "left").drop("_salt")
+    return joined.withColumn(out, F.coalesce("rank", F.lit(0)).cast("long")).drop(value, "rank")
+
+
 def shard_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shards: int = 16, meta: tuple[str, ...] = ("lang", "source")) -> DataFrame:
     """doc_id, size, text_crc32, shard for each row of docs; rows of equal text share a shard."""
     text = F.coalesce(docs[text_col], F.lit(""))
+    whole = docs.schema[id_col].dataType.typeName() in ("byte", "short", "integer", "long")
+    number = docs[id_col].cast("long") if whole else F.coalesce(docs[id_col].cast("string").try_cast("long"), F.xxhash64(docs[id_col]))
     rows = docs.select(
         docs[id_col].alias("doc_id"),
         (F.octet_length(text) + 1).cast("long").alias("size"),
         F.crc32(F.encode(text, "UTF-8")).alias("text_crc32"),
         F.when(docs[text_col].isNull(), F.lit("null")).otherwise(F.md5(F.encode(text, "UTF-8"))).alias("_g"),
+        F.coalesce(number, F.lit(0)).alias("_d"),
         *[docs[m].cast("string").alias(f"_m{i}") for i, m in enumerate(meta)],
     )
     rows = stored(rows)
-    points = rows.groupBy("_g").agg(F.sum("size").alias("_w"), F.max("size").alias("_s"), F.min("doc_id").alias("_d"), *[F.min(f"_m{i}").alias(f"_m{i}") for i in range(len(meta))])
+    points = rows.groupBy("_g").agg(F.sum("size").alias("_w"), F.count("*").alias("_rows"), F.max("size").alias("_s"), F.min("_d").alias("_d"), *[F.min(f"_m{i}").alias(f"_m{i}") for i in range(len(meta))])
+    points = stored(points)
+    ends = points.agg(F.min("_d").cast("double").alias("lo"), F.max("_d").cast("double").alias("hi"), F.sum("_rows").alias("n")).first()
     low = F.pmod(F.xxhash64("_g"), F.lit(1 << HASH_BITS))
-    # dimension values: log-size steps, the first id, and 12-bit ranks by leading bytes of each metadata string
-    code = lambda c: F.conv(F.substring(F.rpad(F.hex(F.encode(F.coalesce(c, F.lit("")), "UTF-8")), 10, "0"), 1, 7), 16, 10).cast("long")
-    dims = {"_x0": F.round(F.log2(F.col("_s").cast("double")) * 1024).cast("long"), "_x1": F.pmod(F.coalesce(F.col("_d").cast("long"), F.lit(0)), F.lit(1 << 30))} | {f"_x{i + 2}": code(F.col(f"_m{i}")) for i in range(len(meta))}
-    points = stored(points.select("_g", "_w", *[(v * (1 << HASH_BITS) + low).alias(k) for k, v in dims.items()]))
-    where = _grow(points, list(dims), shards)
-    return rows.join(points.select("_g", where.alias("shard")), "_g").select("doc_id", "size", "text_crc32", F.col("shard").cast("int").alias("shard"))
+    place = (F.col("_d").cast("double") - F.lit(ends["lo"] or 0.0)) / F.lit(max((ends["hi"] or 0.0) - (ends["lo"] or 0.0), 1.0))
+    dims = {"_x0": F.round(F.log2(F.col("_s").cast("double")) * 1024).cast("long"), "_x1": F.floor(place * (1 << 30)).cast("long")}
+    for i in range(len(meta)):
+        points = _with_rank(points, f"_m{i}", f"_r{i}")
+        dims[f"_x{i + 2}"] = F.col(f"_r{i}")
+    points = stored(points.select("_g", "_w", "_rows", *[(v * (1 << HASH_BITS) + low).alias(k) for k, v in dims.items()]))
+    where = _grow(points, list(dims), shards).cast("int").alias("shard")
+    # rows of the few hot groups stay where they are; all others meet their group by a shuffle
+    hot = points.where(F.col("_rows") >= F.lit(max((ends["n"] or 0) * HOT, 2.0))).select("_g", where)
+    near = rows.join(F.broadcast(hot), "_g")
+    far = rows.join(F.broadcast(hot.select("_g")), "_g", "left_anti").join(points.select("_g", where), "_g")
+    return near.unionByName(far).select("doc_id", "size", "text_crc32", "shard")
 
 
 def _grow(points: DataFrame, dims: list[str], shards: int):
@@ -72,7 +116,7 @@ def _grow(points: DataFrame, dims: list[str], shards: int):
         at = rest.withColumn("_n", walk(0, lambda n: n)).where(F.col("_n").isin(list(nodes)))
         box = {r["_n"]: r for r in at.groupBy("_n").agg(F.sum("_w").alias("w"), *[F.min(d).alias(f"lo{d}") for d in dims], *[F.max(d).alias(f"hi{d}") for d in dims]).collect()}
         if box and not spans:
-            spans = {d: max(1, box[0][f"hi{d}"] - box[0][f"lo{d}"]) for d in dims}
+            spans = {d: max(1, _width(box[0], d)) for d in dims}
         cuts = _cuts(at, {n: _widest(r, dims, spans) for n, r in box.items()}, {n: r["w"] * (nodes[n][0] // 2) / nodes[n][0] for n, r in box.items()})
         grown = {}
         for n, (k, first) in nodes.items():
@@ -86,8 +130,13 @@ def _grow(points: DataFrame, dims: list[str], shards: int):
     return out
 
 
+def _width(r, d: str) -> int:
+    """How far a node's values along d lie apart, the groups' hashes left aside."""
+    return (r[f"hi{d}"] >> HASH_BITS) - (r[f"lo{d}"] >> HASH_BITS)
+
+
 def _widest(r, dims: list[str], spans: dict[str, int]) -> tuple[str, int, int]:
-    d = max(dims, key=lambda d: ((r[f"hi{d}"] - r[f"lo{d}"]) / spans[d], d))
+    d = max(dims, key=lambda d: (_width(r, d) / spans[d], d))
     return d, r[f"lo{d}"], r[f"hi{d}"]
 
 
@@ -120,13 +169,16 @@ def _cuts(at: DataFrame, boxes: dict[int, tuple[str, int, int]], goals: dict[int
     return found
 
 
-def with_slots(rows: DataFrame, shards: int = 16, slots: int = 512) -> DataFrame:
-    """rows and slot, gapless from 0 within each shard; ordered by a hash bucket of doc_id, then doc_id.
+def with_slots(rows: DataFrame, shards: int = 16, slots: int = 4096) -> DataFrame:
+    """rows and slot, gapless from 0 within each shard; ordered by a hash bucket of the row, then by its columns.
 
-    Numbers come from counts by (shard, bucket), at most shards * slots rows, so no task holds a shard.
+    Numbers come from counts by (shard, bucket), at most shards * slots rows, so no task holds a shard. Rows
+    alike in all columns are counted first and numbered in a run, so no task holds all of them either.
     """
-    rows = rows.withColumn("_b", F.pmod(F.xxhash64("doc_id"), F.lit(slots)).cast("int"))
-    counts = rows.groupBy("shard", "_b").agg(F.count("*").alias("_c"))
+    columns = rows.columns
+    same = rows.groupBy(*columns).agg(F.count("*").alias("_n")).withColumn("_b", F.pmod(F.xxhash64(*columns), F.lit(slots)).cast("int"))
+    counts = same.groupBy("shard", "_b").agg(F.sum("_n").alias("_c"))
     before = counts.select("shard", "_b", (F.sum("_c").over(Window.partitionBy("shard").orderBy("_b")) - F.col("_c")).alias("_before"))
-    inside = F.row_number().over(Window.partitionBy("shard", "_b").orderBy("doc_id")) - 1
-    return rows.withColumn("_i", inside).join(F.broadcast(before), ["shard", "_b"]).withColumn("slot", (F.col("_before") + F.col("_i")).cast("long")).drop("_b", "_i", "_before")
+    inside = F.sum("_n").over(Window.partitionBy("shard", "_b").orderBy(*columns).rowsBetween(Window.unboundedPreceding, Window.currentRow)) - F.col("_n")
+    first = same.withColumn("_i", inside).join(F.broadcast(before), ["shard", "_b"]).withColumn("_first", F.col("_before") + F.col("_i"))
+    return first.select(*columns, F.explode(F.sequence(F.col("_first"), F.col("_first") + F.col("_n") - 1)).alias("slot"))

@@ -6,8 +6,9 @@ the samples as bytes in row order. Writing makes single-page or multi-page files
 
 Defined cases: a null or empty file gives one row of page 0 with an error and null pixels, as does a file
 that isn't TIFF or is damaged; a damaged directory gives its error in its own row and ends the walk; a
-page that declares more than `max_bytes` samples is an error, so a forged header can't claim memory;
-repeated rows give repeated pages; an empty table gives no rows.
+page that declares more samples than its strips or tiles can unpack to is an error, so a forged header can't
+claim memory, and no page that can be read is refused for its size; a null or empty payload is stored as no
+file (null); repeated rows give repeated pages; an empty table gives no rows.
 """
 
 from __future__ import annotations
@@ -25,6 +26,9 @@ from pyspark.sql import types as T
 NONE, LZW, DEFLATE, PACKBITS = 1, 5, 8, 32773
 #: Fixed values of the format: tag numbers and bytes by field type.
 WIDTH, HEIGHT, BITS, COMPRESSION, PHOTOMETRIC, STRIP_AT, SAMPLES, STRIP_ROWS, STRIP_LEN, PLANAR, PREDICTOR, TILE_W, TILE_H, TILE_AT, TILE_LEN = 256, 257, 258, 259, 262, 273, 277, 278, 279, 284, 317, 322, 323, 324, 325
+#: Most bytes that a byte of each coding unpacks to: a run of 128 from two, a code of nine bits for a string of the
+#: table's 4,096 at most, and deflate's 258 from two bits.
+UNPACKS = {NONE: 1, PACKBITS: 64, LZW: 4096, DEFLATE: 1040, 32946: 1040}
 TYPE_BYTES = {1: 1, 2: 1, 3: 2, 4: 4, 5: 8, 6: 1, 7: 1, 8: 2, 9: 4, 10: 8, 11: 4, 12: 8}
 
 
@@ -221,7 +225,7 @@ def _fields(data: bytes, at: int, e: str) -> tuple[dict[int, list[int]], int]:
     return found, struct.unpack(e + "I", cut(at + 2 + 12 * n, 4))[0]
 
 
-def _page(data: bytes, f: dict[int, list[int]], e: str, most: int) -> dict:
+def _page(data: bytes, f: dict[int, list[int]], e: str) -> dict:
     get = lambda tag, default=None: f[tag][0] if f.get(tag) else default
     w, h, spp, kind, pred = get(WIDTH), get(HEIGHT), get(SAMPLES, 1), get(COMPRESSION, 1), get(PREDICTOR, 1)
     bits = f.get(BITS, [1])
@@ -232,18 +236,21 @@ def _page(data: bytes, f: dict[int, list[int]], e: str, most: int) -> dict:
     if pred not in (1, 2):
         raise TiffError(f"predictor {pred} is not supported")
     b = bits[0] // 8
-    if w * h * spp * b > most:
-        raise TiffError("a page larger than the limit")
     planar = get(PLANAR, 1) == 2 and spp > 1
     s = 1 if planar else spp
     tiled = TILE_W in f
     tw, th = (get(TILE_W), get(TILE_H)) if tiled else (w, min(h, get(STRIP_ROWS, h)))
     at, size = (f.get(TILE_AT), f.get(TILE_LEN)) if tiled else (f.get(STRIP_AT), f.get(STRIP_LEN))
-    if not at or not size or not tw or not th or tw * th * s * b > 4 * most:
+    if not at or not size or not tw or not th:
         raise TiffError("a page without strips or tiles")
     across, down = -(-w // tw), -(-h // th)
     if len(at) < across * down * (spp if planar else 1) or len(size) < len(at):
         raise TiffError("too few strips or tiles")
+    if kind not in UNPACKS:
+        raise TiffError(f"compression {kind} is not supported")
+    held = [min(n, max(len(data) - a, 0)) * UNPACKS[kind] for a, n in zip(at, size)]
+    if w * h * spp * b > sum(held) or tw * min(th, h if not tiled else th) * s * b > max(held) and (tiled or down == 1):
+        raise TiffError("a page larger than its strips or tiles unpack to")
     kind_of = np.dtype("u1" if b == 1 else e + "u2")
     img = np.zeros((h, w, spp), kind_of)
     for k in range(across * down * (spp if planar else 1)):
@@ -251,7 +258,7 @@ def _page(data: bytes, f: dict[int, list[int]], e: str, most: int) -> dict:
         y, x = i // across * th, i % across * tw
         rows = th if tiled else min(th, h - y)
         need = rows * tw * s * b
-        raw = _unpack(kind, data[at[k] : at[k] + size[k]], need)
+        raw = _unpack(kind, data[at[k] : at[k] + size[k]], need) if need <= held[k] else b""
         if len(raw) < need:
             raise TiffError("a strip or tile is too short")
         block = np.frombuffer(raw, kind_of, rows * tw * s).reshape(rows, tw, s)
@@ -262,7 +269,7 @@ def _page(data: bytes, f: dict[int, list[int]], e: str, most: int) -> dict:
     return {"width": w, "height": h, "samples": spp, "bits": bits[0], "compression": kind, "predictor": pred, "tiled": tiled, "pixels": img.tobytes()}
 
 
-def read_tiff(data: bytes | None, max_bytes: int = 1 << 28) -> Iterator[dict]:
+def read_tiff(data: bytes | None) -> Iterator[dict]:
     """The pages in order; the last may be {"error": ...}."""
     seen: set[int] = set()
     try:
@@ -275,7 +282,7 @@ def read_tiff(data: bytes | None, max_bytes: int = 1 << 28) -> Iterator[dict]:
         while at and at not in seen:
             seen.add(at)
             f, after = _fields(data, at, e)
-            yield _page(data, f, e, max_bytes)
+            yield _page(data, f, e)
             at = after
         if not seen:
             raise TiffError("a file without pages")
@@ -297,7 +304,7 @@ def feature(p: dict) -> str:
 PAGE = "page int, width int, height int, samples int, bits int, compression int, predictor int, tiled boolean, pixels binary, feature string, error string"
 
 
-def read_pages(files: DataFrame, content: str, keep: tuple[str, ...] = (), max_bytes: int = 1 << 28) -> DataFrame:
+def read_pages(files: DataFrame, content: str, keep: tuple[str, ...] = ()) -> DataFrame:
     """One row per page: the columns in keep, then PAGE's."""
     clash = set(keep) & {x.split()[0] for x in PAGE.split(", ")}
     if clash:
@@ -312,7 +319,7 @@ def read_pages(files: DataFrame, content: str, keep: tuple[str, ...] = (), max_b
                 part = batch.slice(lo, 256)
                 rows, took = [], []
                 for i, v in enumerate(part.column(len(keep))):
-                    for n, p in enumerate(read_tiff(v.as_py(), max_bytes)):
+                    for n, p in enumerate(read_tiff(v.as_py())):
                         rows.append(p | {"page": n, "feature": feature(p) if "pixels" in p else None})
                         took.append(i)
                 kept = [part.column(k).take(pa.array(took, pa.int64())) for k in range(len(keep))]
@@ -322,12 +329,15 @@ def read_pages(files: DataFrame, content: str, keep: tuple[str, ...] = (), max_b
     return files.select(*keep, content).mapInArrow(run, schema)
 
 
-def store_bytes(rows: DataFrame, payload: str, keep: tuple[str, ...], media: str = "media", width: int = 64, small: int = 2048) -> DataFrame:
-    """keep and media: each payload, of a multiple of `width` bytes, as a single-page file of that width.
+def store_bytes(rows: DataFrame, payload: str, keep: tuple[str, ...], media: str = "media", width: int = 64) -> DataFrame:
+    """keep and media: each payload as a single-page file, `width` samples wide or 1 where its length is no multiple.
 
-    The coding follows from the bytes alone, so equal payloads give equal files: PackBits or LZW up to
-    `small` bytes, deflate in strips or tiles beyond, each with or without the predictor.
+    The coding follows from the payload's checksum, so equal payloads give equal files, and payloads of all
+    sizes meet every coding: LZW for one of 32, PackBits for two, deflate for the others, in strips or tiles,
+    with or without the predictor.
     """
+    if media in keep:
+        raise ValueError(f"rename {media}: the files have a column of this name")
     schema = T.StructType([rows.schema[k] for k in keep] + [T.StructField(media, T.BinaryType())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -337,10 +347,13 @@ def store_bytes(rows: DataFrame, payload: str, keep: tuple[str, ...], media: str
                 made = []
                 for v in part.column(len(keep)):
                     data = v.as_py()
+                    if not data:
+                        made.append(None)
+                        continue
                     mark = zlib.crc32(data)
-                    page = np.frombuffer(data, np.uint8).reshape(-1, width)
-                    kind = (PACKBITS if mark & 1 else LZW) if len(data) <= small else DEFLATE
-                    made.append(write_tiff([page], kind, 2 if mark & 6 == 6 else 1, tile=width if mark & 24 == 24 else 0))
+                    page = np.frombuffer(data, np.uint8).reshape(-1, 1 if len(data) % width else width)
+                    kind = {0: LZW, 1: PACKBITS, 2: PACKBITS}.get(mark >> 5 & 31, DEFLATE)
+                    made.append(write_tiff([page], kind, 2 if mark & 6 == 6 else 1, tile=page.shape[1] if mark & 24 == 24 else 0))
                 yield pa.RecordBatch.from_arrays([part.column(k) for k in range(len(keep))] + [pa.array(made, pa.binary())], names=[*keep, media])
 
     return rows.select(*keep, payload).mapInArrow(run, schema)

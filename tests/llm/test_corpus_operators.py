@@ -228,13 +228,41 @@ def test_tiff_big_endian_and_damage(spark):
         b = bytearray(whole)
         for _ in range(3):
             b[rng.randrange(len(b))] = rng.randrange(256)
-        list(tiff.read_tiff(bytes(b[: rng.randrange(1, len(b) + 1)]), max_bytes=1 << 20))
+        list(tiff.read_tiff(bytes(b[: rng.randrange(1, len(b) + 1)])))
     df = spark.createDataFrame([(1, bytearray(good)), (2, bytearray(tiff.write_tiff([np.ones((2, 2), np.uint8)] * 3))), (3, bytearray(b"x")), (4, None)], "id long, content binary")
     got = sorted((r.id, r.page, r.error is None) for r in tiff.read_pages(df, "content", ("id",)).collect())
     assert got == [(1, 0, True), (2, 0, True), (2, 1, True), (2, 2, True), (3, 0, False), (4, 0, False)]
     assert tiff.read_pages(df.limit(0), "content", ("id",)).count() == 0
 
 
+def test_tiff_pages_have_no_size_limit():
+    """A page of 300 MB of zeros is read from a small file; a forged size beyond what the strips unpack to is refused."""
+    big = tiff.write_tiff([np.zeros((300 << 10, 1024), np.uint8)], tiff.DEFLATE, strip_rows=1 << 16)
+    (page,) = tiff.read_tiff(big)
+    assert len(page["pixels"]) == 300 << 20 and not any(page["pixels"][:: 1 << 20])
+    small = bytearray(tiff.write_tiff([np.zeros((64, 64), np.uint8)], tiff.LZW))
+    at = small.rindex(b"\x00\x01\x04\x00\x01\x00\x00\x00\x40\x00\x00\x00") + 8
+    small[at : at + 4] = b"\xff\xff\xff\x7f"
+    (page,) = tiff.read_tiff(bytes(small))
+    assert "unpack" in page["error"] or "short" in page["error"]
+
+
+def test_stored_payloads_of_any_kind(spark):
+    """Every coding is met at every size; nulls, odd lengths, repeated rows and an extra column have a defined result."""
+    rows = [(i, bytearray((f"w{i} " * (2 + i % 300)).encode()), "x") for i in range(300)]
+    rows += [(1000, None, None), (1001, bytearray(b""), "x"), (1002, bytearray(b"abc"), "x"), (1002, bytearray(b"abc"), "x")]
+    df = spark.createDataFrame(rows, "id long, payload binary, media string")
+    files = tiff.store_bytes(df, "payload", ("id",))
+    got = tiff.read_pages(files, "media", ("id",)).select("id", "pixels", "compression", "error").collect()
+    want = collections.Counter((i, bytes(p) if p else None) for i, p, _ in rows)
+    assert collections.Counter((r.id, bytes(r.pixels) if r.pixels else None) for r in got) == want
+    assert {r.compression for r in got if r.pixels and len(r.pixels) > 800} == {tiff.LZW, tiff.DEFLATE, tiff.PACKBITS}
+    assert all((r.error is None) == (r.pixels is not None) for r in got)
+    assert tiff.store_bytes(df.limit(0), "payload", ("id",)).count() == 0
+    with pytest.raises(ValueError, match="rename"):
+        tiff.store_bytes(df, "payload", ("id", "media"))
+
+
 def test_media_query(spark, sf):
     texts = {r.doc_id: (r.text or "").encode() for r in spark.read.parquet(f"{sf}/documents.parquet").collect()}
     for r in QUERIES["op7_tiff_pages"](spark, sf).collect():
@@ -293,6 +321,33 @@ def test_shards_native_and_edges(spark, sf, odd_docs, no_docs):
     assert sharding.with_slots(sharding.shard_groups(no_docs)).count() == 0
 
 
+def test_sources_with_a_common_prefix_are_cut_apart(spark):
+    """Two sources of equal bytes, alike in all but the end of a long name: the cut goes between them."""
+    docs = [(i, f"text {i:04d}", "en", "https://example.org/a/long/common/prefix/" + "ab"[i % 2]) for i in range(200)]
+    got = sharding.shard_groups(spark.createDataFrame(docs, "doc_id long, text string, lang string, source string"), shards=2).collect()
+    assert collections.Counter((r.doc_id % 2, r.shard) for r in got) == {(0, 0): 100, (1, 1): 100}
+
+
+def test_ranks_of_metadata(spark, monkeypatch):
+    """Ranks follow code points over all ranges, and a shuffled join of ranks gives what a broadcast one does."""
+    names = [f"s{i}" for i in range(300)] + ["é", "z", "", "Z"]
+    df = spark.createDataFrame([(i, f"t{i % 97}", "en", n if i % 7 else None) for i, n in enumerate(names * 3)], "doc_id long, text string, lang string, source string")
+    points = df.select(F.col("source").alias("_m0"), F.col("text").alias("_g"))
+    assert {r["_m0"]: r["rank"] for r in sharding.ranks(points, "_m0", parts=5).collect()} == {n: i + 1 for i, n in enumerate(sorted(names, key=str.encode))}
+    a = sorted(map(tuple, sharding.shard_groups(df, shards=4).collect()))
+    monkeypatch.setattr(sharding, "SENT_VALUES", 1)
+    assert sorted(map(tuple, sharding.shard_groups(df, shards=4).collect())) == a
+
+
+def test_slots_of_repeated_rows_and_text_ids(spark):
+    docs = [(None if i % 3 else f"id{i}", "same" if i % 2 else f"text {i}", "en", "s") for i in range(300)]
+    rows = sharding.with_slots(sharding.shard_groups(spark.createDataFrame(docs, "doc_id string, text string, lang string, source string"), shards=3)).collect()
+    slots = collections.defaultdict(list)
+    for r in rows:
+        slots[r.shard].append(r.slot)
+    assert len(rows) == 300 and all(sorted(s) == list(range(len(s))) for s in slots.values())
+
+
 def test_one_group_may_hold_most_bytes(spark):
     df = spark.createDataFrame([(i, "same text " * 50 if i < 60 else f"text {i} " * 30, "en", "s") for i in range(200)], "doc_id long, text string, lang string, source string")
     got = sharding.shard_groups(df, shards=8).groupBy("shard").agg(F.sum("size").alias("b"), F.count_distinct("text_crc32").alias("g")).collect()
@@ -337,3 +392,5 @@ def test_mixing_caps_small_sources(spark):
 def test_mixing_reruns_agree_and_edges(odd_docs, no_docs):
     a, b = (sorted((str(r.doc_id), r.size, r.taken) for r in mixing.mix(x).collect()) for x in (odd_docs, odd_docs.repartition(5)))
     assert a == b and len(a) == 9 and mixing.mix(no_docs).count() == 0
+    many = sorted((str(r.doc_id), r.size, r.taken) for r in mixing.mix(odd_docs, buckets=100_000).collect())
+    assert many == a

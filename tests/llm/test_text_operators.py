@@ -169,3 +169,42 @@ def test_toxicity_query(spark, sf):
 
 def test_files_exist():
     assert os.path.exists(vocabulary())
+
+
+@pytest.mark.parametrize("unit", ['<a "', '<a ">" ""', "<a '>\"", '<div class="x" ', "<!-- ", "<b <", "<b <!", "</b <", "<p>&lt;"])
+def test_hostile_pages_take_linear_time(unit):
+    import time
+
+    html_text.main_text(unit * 100)
+    start = time.process_time()
+    html_text.main_text(unit * ((1 << 17) // len(unit)))
+    assert time.process_time() - start < 5  # a scan that starts anew at each tag takes a minute
+
+
+def test_wrapped_articles_and_marked_paragraphs():
+    article = "<h1>T</h1><p>Long enough text of the article, as such.</p><p class='legal-history'>A paragraph of legal history.</p><p class=ad-box>Buy.</p><p class='search-results-note'>Notes on results.</p>"
+    want = "T\nLong enough text of the article, as such.\nA paragraph of legal history.\nNotes on results."
+    form = f"<body><form id=aspnetForm><nav>Home</nav><article>{article}</article><footer>f</footer></form></body>"
+    assert html_text.main_text(form) == html_text.main_text(f"<body><article>{article}</article></body>") == want
+    assert html_text.main_text("<body><form><p>Long enough text, no article element here.</p></form><nav><a>x</a></nav></body>") == "Long enough text, no article element here."
+    assert html_text.main_text("<article><p>Kept text.</p><form><p>Your name</p></form></article>") == "Kept text."
+    assert html_text.main_text("<p>A&<i>lt;</i>b &amp;lt;</p>") == "A&lt;b &lt;"
+
+
+def test_density_decides_without_an_article_element(spark, sf):
+    """The fixture's pages with the article's tag made a div or a form: the same texts, where an article is longer than the page's notices."""
+    pages = [r.html for r in spark.read.parquet(f"{sf}/pages.parquet").collect()]
+    want = [html_text.main_text(p) for p in pages]
+    for open_, close in (("<div>", "</div>"), ("<form><div class=post>", "</div></form>"), ("", "")):
+        got = [html_text.main_text(p.replace("<article>", open_).replace("</article>", close)) for p in pages]
+        assert all(a == b for a, b in zip(got, want) if len(b) > 200)
+
+
+def test_extract_edges(spark):
+    rows = [(1, "u", "<p>a", "x"), (1, "u", "<p>a", "x"), (None, None, None, None), (3, "", "", "")]
+    df = spark.createDataFrame(rows, "page_id long, url string, html string, text string")
+    got = html_text.extract(df).collect()
+    assert sorted((r.page_id or 0, r.text) for r in got) == [(0, ""), (1, "a"), (1, "a"), (3, "")]
+    assert html_text.extract(df.limit(0)).count() == 0
+    with pytest.raises(ValueError, match="rename"):
+        html_text.extract(df, keep=("page_id", "text"))
