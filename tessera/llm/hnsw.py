@@ -1,24 +1,30 @@
 """Approximate nearest neighbours: a navigable small-world graph per shard, shard results merged.
 
-Distinct vectors are dealt to shards of about `shard_rows`. Each shard's graph is a layered one, kept as
-flat neighbour arrays (a row of links per vector and layer, -1 for none) in a stored table, built once and
-searched by every block of queries. Searches of a block run in step: each round expands the best open
-candidates of all queries at once in numpy. Largest inner product becomes nearest neighbour by one more
-component, sqrt(R^2 - |x|^2), with R the shard's largest norm; queries have 0 there.
+Distinct vectors are dealt to shards: as many as the cluster has cores, so that the work of a query doesn't
+grow with the table, but none of less than `least_rows` (one then) or more than `most_rows` vectors, what a
+worker holds. Each shard's graph is a layered one, kept as flat neighbour arrays (a row of links per vector
+and layer, -1 for none) in a stored table. It travels once, to the task that then streams the queries
+through it, a block at a time. Searches of a block run in step: each round expands the best open candidates
+of all queries at once in numpy. Largest inner product becomes nearest neighbour by one more component,
+sqrt(R^2 - |x|^2), with R the shard's largest norm; queries have 0 there.
 
 Equal vectors are one point of the graph with its least k + 1 ids, so copies neither crowd a beam nor hide
 one another. The candidates a search finds are scored anew in double precision on the original vectors.
 
-Defined cases: vectors that are null, empty or zero, hold null or non-finite components, or differ in
-length from most, take no part as queries or candidates; null ids take no part; ties go to the smaller
-id; repeated ids of one vector count once; with fewer candidates than k all are returned; an empty table gives
-no rows; other columns are ignored.
+Defined cases: vectors that are null, empty or zero, or hold null or non-finite components, take no part as
+queries or candidates; a vector meets those of its own length only; null ids take no part; ties go to the
+smaller id; repeated ids of one vector count once; an id of several vectors is asked and listed for each; with
+fewer candidates than k all are returned; an empty table gives no rows; other columns are ignored. Which
+neighbours are missed may differ with the number of cores.
 """
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -165,74 +171,104 @@ class Graph:
 
 def lifted(x: np.ndarray) -> np.ndarray:
     """x with the component that makes all norms equal; scaled to norm 1."""
+    x = x / np.abs(x).max()  # squares of large components stay finite
     sq = (x.astype(np.float64) ** 2).sum(1)
     r = sq.max()
     return (np.concatenate((x, np.sqrt(np.maximum(r - sq, 0))[:, None]), axis=1) / np.sqrt(r)).astype(np.float32)
 
 
 def usable(df: DataFrame, id_col: str, vec_col: str) -> DataFrame:
-    """id, v: the rows that take part."""
-    rows = df.select(df[id_col].cast("long").alias("id"), df[vec_col].cast("array<float>").alias("v")).where("id IS NOT NULL AND v IS NOT NULL")
+    """id, v, dim: the rows that take part; components keep their precision."""
+    kind = "array<float>" if df.schema[vec_col].dataType.elementType.typeName() == "float" else "array<double>"
+    rows = df.select(df[id_col].cast("long").alias("id"), df[vec_col].cast(kind).alias("v")).where("id IS NOT NULL AND v IS NOT NULL")
     rows = rows.where(F.forall("v", lambda c: c.isNotNull() & ~F.isnan(c) & (F.abs(c) < float("inf"))) & F.exists("v", lambda c: c != 0))
-    most = rows.groupBy(F.size("v").alias("d")).count().orderBy(F.desc("count"), "d").first()
-    return rows.where(F.size("v") == (most["d"] if most else 0))
+    return rows.withColumn("dim", F.size("v"))
 
 
-def neighbours(df: DataFrame, id_col: str = "vec_id", vec_col: str = "embedding", is_query=None, k: int = 20, shard_rows: int = 4096, block_rows: int = 1024, m: int = 16, ef: int = 160, salts: int = 32) -> DataFrame:
+def neighbours(df: DataFrame, id_col: str = "vec_id", vec_col: str = "embedding", is_query=None, k: int = 20, least_rows: int = 1024, most_rows: int = 1 << 18, shards: int | None = None, m: int = 16, ef: int = 160, salts: int = 32) -> DataFrame:
     """query_id, rank, vec_id, score: each query row's k nearest among all other rows.
 
-    is_query: a condition on df's column id_col, written for a column named id; all rows if None.
+    is_query: a condition on df's column id_col, written for a column named id; all rows if None. shards: of each
+    length of vectors; by default from its number of distinct vectors and the cluster's cores.
     """
+    spark = df.sparkSession
     rows = usable(df, id_col, vec_col)
+    wide = rows.schema["v"].dataType.elementType.typeName() == "double"
+    real = np.float64 if wide else np.float32
     # a vector's least k + 1 ids, first within salts: copies of one vector may be a third of all rows
     key = F.md5(F.concat_ws(",", F.transform("v", lambda c: F.hex(c.cast("double").cast("string"))))).alias("key")
-    rows = rows.select("id", "v", key, F.pmod(F.xxhash64("id"), F.lit(salts)).alias("salt")).distinct()
+    rows = rows.select("id", "v", "dim", key, F.pmod(F.xxhash64("id"), F.lit(salts)).alias("salt")).distinct()
     for by in (("key", "salt"), ("key",)):
         rows = rows.withColumn("r", F.row_number().over(Window.partitionBy(*by).orderBy("id"))).where(F.col("r") <= k + 1)
-    points = rows.groupBy("key").agg(F.any_value("v").alias("v"), F.sort_array(F.collect_list("id")).alias("ids"))
-    points = stored(points)
-    n = points.count()
-    shards = max(1, -(-n // shard_rows))
-    points = points.withColumn("shard", F.pmod(F.xxhash64("key"), F.lit(shards)).cast("int"))
+    points = stored(rows.groupBy("key").agg(F.any_value("v").alias("v"), F.any_value("dim").alias("dim"), F.sort_array(F.collect_list("id")).alias("ids")))
+    cores = spark.sparkContext.defaultParallelism
+    count = F.count("*")
+    many = F.lit(shards) if shards else F.greatest(F.ceil(count / most_rows), F.least(F.ceil(count / least_rows), F.lit(cores)))
+    sizes = stored(points.groupBy("dim").agg(many.cast("int").alias("shards")))  # a row per length
+    points = points.join(F.broadcast(sizes), "dim").withColumn("shard", F.pmod(F.xxhash64("key"), F.col("shards")).cast("int"))
 
     def index(pdf: pd.DataFrame) -> pd.DataFrame:
         pdf = pdf.sort_values("key")
-        x = np.array(pdf["v"].tolist(), np.float32)
+        x = np.array(pdf["v"].tolist(), real)
         g = Graph.build(lifted(x), m)
-        return pd.DataFrame({"shard": [int(pdf["shard"].iloc[0])], "dim": [x.shape[1]], "x": [x.tobytes()], "links": [[a.tobytes() for a in g.links]], "ids": [[int(i) for ids in pdf["ids"] for i in ids]], "many": [[len(i) for i in pdf["ids"]]]})
+        return pd.DataFrame({"dim": [x.shape[1]], "shard": [int(pdf["shard"].iloc[0])], "x": [x.tobytes()], "links": [[a.tobytes() for a in g.links]], "ids": [[int(i) for ids in pdf["ids"] for i in ids]], "many": [[len(i) for i in pdf["ids"]]]})
 
-    graphs = stored(points.groupBy("shard").applyInPandas(index, "shard int, dim int, x binary, links array<binary>, ids array<long>, many array<int>"))
+    graphs = stored(points.groupBy("dim", "shard").applyInPandas(index, "dim int, shard int, x binary, links array<binary>, ids array<long>, many array<int>"))
     queries = usable(df, id_col, vec_col)
-    queries = stored((queries.where(is_query) if is_query is not None else queries).distinct())
-    blocks = max(1, -(-queries.count() // block_rows))
-    asked = queries.withColumn("block", F.pmod(F.xxhash64("id"), F.lit(blocks)).cast("int")).withColumn("shard", F.explode(F.sequence(F.lit(0), F.lit(shards - 1))))
-    sought = graphs.withColumn("block", F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))))
-
-    def search(left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
-        if not len(left) or not len(right):
-            return pd.DataFrame({"query_id": [], "found": []})
-        r = left.iloc[0]
-        x = np.frombuffer(r["x"], np.float32).reshape(-1, r["dim"])
-        high = lifted(x)
-        counts = [len(x)]
-        while len(counts) < len(r["links"]):
-            counts.append(counts[-1] // m)
-        g = Graph(high, [np.frombuffer(a, np.int32).reshape(c, -1) for a, c in zip(r["links"], counts)], counts)
-        q = np.array(right["v"].tolist(), np.float32)
-        flat = np.concatenate((q / np.linalg.norm(q, axis=1, keepdims=True), np.zeros((len(q), 1), np.float32)), axis=1).astype(np.float32)
-        near = g.search(flat, min(k + 1, len(x)), max(ef, 2 * k))
-        exact = np.einsum("bd,bkd->bk", q.astype(np.float64), x[np.maximum(near, 0)].astype(np.float64))
-        ends = np.cumsum(r["many"])
-        ids = np.asarray(r["ids"])
-        found = []
-        for own, js, ss in zip(right["id"], near, exact):
-            pairs = [(-s, int(i)) for j, s in zip(js, ss) if j >= 0 for i in ids[ends[j] - r["many"][j] : ends[j]] if i != own]
-            pairs.sort()
-            found.append([{"s": -s, "i": i} for s, i in pairs[:k]])
-        return pd.DataFrame({"query_id": right["id"].astype("int64"), "found": found})
-
-    parts = sought.groupBy("shard", "block").cogroup(asked.groupBy("shard", "block")).applyInPandas(search, "query_id long, found array<struct<s double, i long>>")
-    best = parts.groupBy("query_id").agg(F.flatten(F.collect_list("found")).alias("f"))
+    queries = (queries.where(is_query) if is_query is not None else queries).distinct()
+    asked = queries.join(F.broadcast(sizes), "dim").withColumn("shard", F.explode(F.sequence(F.lit(0), F.col("shards") - 1)))
+    asked = asked.select("dim", "shard", F.lit(1).alias("step"), "id", "v")
+    both = graphs.withColumn("step", F.lit(0)).unionByName(asked, allowMissingColumns=True)
+    parts = max(sizes.agg(F.sum("shards")).first()[0] or 0, 1)
+    # a shard's graph comes first, then its queries
+    both = both.repartition(parts, "dim", "shard").sortWithinPartitions("dim", "shard", "step").select("dim", "shard", "step", "x", "links", "ids", "many", "id", "v")
+
+    def search(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held = None
+
+        def open_graph(b: pa.RecordBatch, i: int):
+            x = np.frombuffer(b.column(3)[i].as_py(), real).reshape(-1, b.column(0)[i].as_py())
+            counts, links = [len(x)], b.column(4)[i].as_py()
+            while len(counts) < len(links):
+                counts.append(counts[-1] // m)
+            g = Graph(lifted(x), [np.frombuffer(a, np.int32).reshape(c, -1) for a, c in zip(links, counts)], counts)
+            n = b.column(6)[i].values.to_numpy()
+            return x, g, b.column(5)[i].values.to_numpy(), np.cumsum(n) - n, n
+
+        def block(own: np.ndarray, q: np.ndarray) -> pa.RecordBatch:
+            x, g, ids, first, n = held
+            unit = q / np.abs(q).max(axis=1, keepdims=True)
+            flat = np.concatenate((unit / np.linalg.norm(unit, axis=1, keepdims=True), np.zeros((len(q), 1))), axis=1).astype(np.float32)
+            near = g.search(flat, min(k + 1, len(x)), max(ef, 2 * k))
+            row, col = np.nonzero(near >= 0)
+            at = near[row, col]
+            exact = np.einsum("nd,nd->n", q[row].astype(np.float64), x[at].astype(np.float64))
+            # each point stands for its ids
+            copies = n[at]
+            row, score = np.repeat(row, copies), np.repeat(exact, copies)
+            found = ids[np.repeat(first[at], copies) + np.arange(len(row)) - np.repeat(np.cumsum(copies) - copies, copies)]
+            other = found != own[row]
+            row, score, found = row[other], score[other], found[other]
+            order = np.lexsort((found, -score, row))
+            row, score, found = row[order], score[order], found[order]
+            rank = np.arange(len(row)) - np.searchsorted(row, row)
+            top = rank < k
+            return pa.RecordBatch.from_arrays([pa.array(own[row[top]]), pa.array(score[top]), pa.array(found[top])], names=["query_id", "s", "i"])
+
+        for b in batches:
+            step = np.asarray(b.column(2))
+            cuts = [0, *(np.flatnonzero(step[1:] != step[:-1]) + 1).tolist(), len(step)] if len(step) else []
+            for lo, hi in zip(cuts[:-1], cuts[1:]):
+                if step[lo] == 0:
+                    held = open_graph(b, hi - 1)  # a shard without queries has only its graph
+                    continue
+                for at in range(lo, hi, 1024):
+                    part = b.slice(at, min(1024, hi - at))
+                    q = part.column(8).flatten().to_numpy(zero_copy_only=False).reshape(part.num_rows, -1)
+                    yield block(np.asarray(part.column(7)), q)
+
+    found = both.mapInArrow(search, "query_id long, s double, i long")
+    best = found.groupBy("query_id").agg(F.collect_list(F.struct("s", "i")).alias("f"))
     # descending score, ascending id
     order = F.array_sort("f", lambda a, b: F.when(a["s"] > b["s"], -1).when(a["s"] < b["s"], 1).when(a["i"] < b["i"], -1).when(a["i"] > b["i"], 1).otherwise(0))
     best = best.select("query_id", F.posexplode(F.slice(order, 1, k)).alias("p", "x"))

@@ -4,20 +4,23 @@ A text's set is its distinct shingles of `words` words (ASCII lower case). Texts
 class; what follows works on a class's representative, the smallest id.
 
 1. Chosen paths: in each of `trees` trees a representative starts at the node of one minwise token of its
-   set; a node of more than `small` members branches, by `branch` further tokens whose positions the node
-   draws, `depth` times at most. Equal paths mean equal tokens along them, so sets of similarity s follow
-   a token together with chance s, and independent trees bring the recall to its target: a pair of 0.8
-   is missed by all trees with a chance under 1e-4, whatever the sizes of nodes.
-2. Nodes are compared exhaustively by their signatures, those that stay large in pairs of blocks. A node gives a
-   spanning forest of the pairs that may be links, so no group gives all its pairs.
-3. Groups of possible links get their full sets, once; large groups are cut into blocks and each pair of
-   blocks is compared. Intersections are counted exactly by inverted lists; again a spanning forest of the
-   true links is kept, which has the same connected components.
+   set. In a node of more than `small` members all are compared with the node's leader (its smallest id), whose
+   signature goes to each block of members; those that may be its links hang together through it, and only the
+   rest is still to be compared with all. A node whose rest is large branches, by `branch` further tokens whose
+   positions the node draws, until nodes are small or the path has `depth` tokens. Equal paths mean equal tokens
+   along them, so sets of similarity s follow a token together with chance s, and independent trees bring the
+   recall to its target: a pair of 0.8 is missed by all trees with a chance under 1e-4, whatever the nodes' sizes.
+2. Small nodes are compared exhaustively by their signatures, large ones the rest against all in pairs of blocks.
+   A node gives a spanning forest of the pairs that may be links, so no group gives all its pairs.
+3. Groups of possible links get their full sets, once. Again members of a large group meet its leader first and
+   then, block by block, only those that aren't its links meet all. Intersections are counted exactly by
+   inverted lists; a spanning forest of the true links is kept, which has the same connected components.
 4. Components by large-star and small-star rounds on stored tables, which end when nothing changes.
 
 Defined cases: null, empty and white-space texts have the empty set, link with nothing and are kept; with fewer
 words than a shingle the whole sequence is the one shingle; rows that share an id are one document with
-several texts; a null id links with nothing; an empty table gives no rows; other columns are ignored.
+several texts; a null id links with nothing; ids of another type than whole numbers are refused; an empty table
+gives no rows; other columns are ignored.
 """
 
 from __future__ import annotations
@@ -139,9 +142,10 @@ def _runs(t: pa.Table, keys: int) -> np.ndarray:
     return np.append(np.flatnonzero(change), t.num_rows)
 
 
-def _forest(n: int, pairs: Iterator[tuple[np.ndarray, np.ndarray]]) -> list[tuple[int, int]]:
-    """A spanning forest of the graph on 0..n-1 whose edges come in blocks."""
-    root = list(range(n))
+def _forest(reps: np.ndarray, pairs: Iterator[tuple[np.ndarray, np.ndarray]]) -> list[tuple[int, int]]:
+    """A spanning forest of the graph on rows, whose edges come in blocks; rows of one representative are one vertex."""
+    root = np.unique(reps, return_index=True, return_inverse=True)
+    root = root[1][root[2]].tolist()
 
     def find(x: int) -> int:
         while root[x] != x:
@@ -173,63 +177,102 @@ def _maybe(sig: np.ndarray, n: np.ndarray, side: np.ndarray, share: float) -> It
         yield lo + u[keep], lo + v[keep]
 
 
-EDGE = "u long, v long"
+EDGE = "u long, v long, node long"
 
 
-def _edges(rows: list[tuple[int, int]]) -> pa.RecordBatch:
-    a = np.array(rows, np.int64).reshape(-1, 2)
-    return pa.RecordBatch.from_arrays([pa.array(a[:, 0]), pa.array(a[:, 1])], names=["u", "v"])
+def _edges(rows: list[tuple[int, int, int]]) -> pa.RecordBatch:
+    a = np.array(rows, np.int64).reshape(-1, 3)
+    return pa.RecordBatch.from_arrays([pa.array(a[:, k]) for k in range(3)], names=["u", "v", "node"])
 
 
-def _blocks(size, of, block: int):
-    """array<struct<i, j, side>>: the pairs of blocks a member takes part in; one pair (0, 0) if all fit in one."""
-    many = F.ceil(size / block).cast("int")
-    own = F.pmod(F.xxhash64(of), many).cast("int")
-    pair = lambda x: F.struct(F.least(x, own).alias("i"), F.greatest(x, own).alias("j"), F.when(x == own, F.lit(-1)).otherwise(own).alias("side"))
-    return F.transform(F.sequence(F.lit(0), many - 1), pair)
+#: A key with this share of all rows is hot; so there are at most 1 / HOT hot keys.
+HOT = 1 / 256
 
 
-def paths(reps: DataFrame, trees: int, small: int, branch: int, depth: int) -> DataFrame:
-    """node, rep, size: the nodes of two members or more that no longer branch."""
-    seed = F.array(*[F.struct(F.lit(t).alias("t"), F.lit(t * (POSITIONS // trees)).alias("p")) for t in range(trees)])
-    now = reps.select("rep", "sig", F.explode(seed).alias("s")).select("rep", F.xxhash64("s.t", F.element_at("sig", F.col("s.p") + 1)).alias("node"))
-    done = None
-    for level in range(depth + 1):
-        sizes = now.groupBy("node").agg(F.count("*").alias("size")).where("size > 1")
-        now = stored(now.join(sizes, "node"))
-        end = now if level == depth else now.where(F.col("size") <= small)
-        done = end if done is None else done.unionByName(end)
-        if level == depth:
-            break
-        large = now.where(F.col("size") > small).drop("size")
-        if large.isEmpty():
-            break
-        at = lambda j: F.pmod(F.xxhash64("node", F.lit(level), F.lit(j)), F.lit(POSITIONS)).cast("int")  # noqa: B023,E731
-        grown = large.join(reps.select("rep", "sig"), "rep")
-        now = grown.select("rep", F.explode(F.array(*[F.xxhash64("node", at(j), F.element_at("sig", at(j) + 1)) for j in range(branch)])).alias("node"))
-    return done
+def _told(rows: DataFrame, facts: DataFrame, key: str, size: str) -> DataFrame:
+    """rows joined with the facts about their key: those of the few hot keys are broadcast, so no task gets all rows of one."""
+    facts = stored(facts)
+    least = max((facts.agg(F.sum(size)).first()[0] or 0) * HOT, 2.0)
+    hot = facts.where(F.col(size) >= least)
+    near = rows.join(F.broadcast(hot), key)
+    far = rows.join(F.broadcast(hot.select(key)), key, "left_anti").join(facts.where(F.col(size) < least), key)
+    return near.unionByName(far)
+
+
+def _led(rows: DataFrame, key: str) -> DataFrame:
+    """Members of large groups (key, rep, size, lead) by block: the leader goes to each, as side 1."""
+    many = F.ceil(F.col("size") / BLOCK).cast("int")
+    own = F.pmod(F.xxhash64("rep"), many).cast("int")
+    places = F.when(F.col("rep") == F.col("lead"), F.sequence(F.lit(0), many - 1)).otherwise(F.array(own))
+    return rows.select(key, "rep", (F.col("rep") == F.col("lead")).cast("int").alias("side"), F.explode(places).alias("i")).withColumn("j", F.lit(0))
+
+
+def _rest_against_all(rows: DataFrame, linked: DataFrame, key: str, whole: bool = True) -> DataFrame:
+    """Members of large groups whose rest isn't empty, by pairs of blocks: side 1 is the rest, side 0 all.
 
+    linked: (key, rep) of members that hang together with their leader. Not whole: only groups with a rest of a block.
+    """
+    rest = stored(rows.where("rep != lead").join(linked, [key, "rep"], "left_anti").select(key, "rep"))
+    count = rest.groupBy(key).agg(F.count("*").alias("rest"))
+    facts = rows.where("rep = lead").select(key, "size").join(count if whole else count.where(F.col("rest") <= BLOCK), key)
+    few = F.ceil(F.col("rest") / BLOCK).cast("int")
+    many = F.ceil(F.col("size") / BLOCK).cast("int")
+    side = lambda n: F.pmod(F.xxhash64("rep"), n).cast("int")
+    every = _told(rows.select(key, "rep"), facts, key, "size").select(key, "rep", F.lit(0).alias("side"), F.explode(F.sequence(F.lit(0), few - 1)).alias("i"), side(many).alias("j"))
+    some = _told(rest, facts, key, "size").select(key, "rep", F.lit(1).alias("side"), side(few).alias("i"), F.explode(F.sequence(F.lit(0), many - 1)).alias("j"))
+    return every.unionByName(some)
 
-def candidates(reps: DataFrame, nodes: DataFrame, share: float) -> DataFrame:
-    """u, v: spanning forests of the pairs that may be links."""
-    rows = nodes.join(reps, "rep").select("node", "rep", "n", "sig", F.explode(_blocks(F.col("size"), F.col("rep"), BLOCK)).alias("x"))
-    rows = rows.select("node", F.col("x.i").alias("i"), F.col("x.j").alias("j"), "rep", F.col("x.side").alias("side"), "n", "sig")
-    rows = rows.repartition("node", "i", "j").sortWithinPartitions("node", "i", "j", "rep")
+
+def compared(rows: DataFrame, reps: DataFrame, share: float, key: str = "node") -> DataFrame:
+    """u, v, key: a spanning forest of the pairs that may be links in each (key, i, j), across sides where side isn't -1."""
+    rows = rows.join(reps, "rep").select(key, "i", "j", "rep", "side", "n", "sig")
+    rows = rows.repartition(key, "i", "j").sortWithinPartitions(key, "i", "j", "rep")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for t in _groups(batches, 3):
             cut, out = _runs(t, 3), []
-            rep, side, n = (np.asarray(t.column(k)) for k in (3, 4, 5))
+            own, rep, side, n = (np.asarray(t.column(k)) for k in (0, 3, 4, 5))
             sig = np.asarray(t.column(6).combine_chunks().flatten()).reshape(-1, POSITIONS)
             for lo, hi in zip(cut[:-1], cut[1:]):
-                if hi - lo == 2:  # most nodes
+                if hi - lo == 2 and side[lo] < 0:  # most nodes
                     if (sig[lo] == sig[lo + 1]).sum() >= MAYBE * POSITIONS:
-                        out.append((rep[lo], rep[lo + 1]))
-                elif hi - lo > 2:
-                    out += [(rep[lo + u], rep[lo + v]) for u, v in _forest(hi - lo, _maybe(sig[lo:hi], n[lo:hi], side[lo:hi], share))]
+                        out.append((rep[lo], rep[lo + 1], own[lo]))
+                elif hi - lo > 1:
+                    out += [(rep[lo + u], rep[lo + v], own[lo]) for u, v in _forest(rep[lo:hi], _maybe(sig[lo:hi], n[lo:hi], side[lo:hi], share))]
             yield _edges(out)
 
-    return rows.mapInArrow(run, EDGE).where("u != v").distinct()
+    return rows.mapInArrow(run, EDGE).where("u != v")
+
+
+def search(reps: DataFrame, share: float, trees: int, small: int, branch: int, depth: int) -> DataFrame:
+    """u, v: pairs that may be links and connect what all such pairs connect, over all trees and levels."""
+    seed = F.array(*[F.struct(F.lit(t).alias("t"), F.lit(t * (POSITIONS // trees)).alias("p")) for t in range(trees)])
+    now = reps.select("rep", "sig", F.explode(seed).alias("s")).select("rep", F.xxhash64("s.t", F.element_at("sig", F.col("s.p") + 1)).alias("node"))
+    found: list[DataFrame] = []
+    for level in range(depth + 1):
+        now = stored(now)
+        sizes = now.groupBy("node").agg(F.count("*").alias("size"), F.min("rep").alias("lead")).where("size > 1")
+        now = stored(_told(now, sizes, "node", "size"))
+        alone = now.where(F.col("size") <= small).select("node", "rep", F.lit(-1).alias("side"), F.lit(0).alias("i"), F.lit(0).alias("j"))
+        found.append(compared(alone, reps, share).select("u", "v"))
+        large = now.where(F.col("size") > small)
+        if large.isEmpty():
+            break
+        near = stored(compared(_led(large, "node"), reps, share))
+        found.append(near.select("u", "v"))
+        linked = near.select("node", F.explode(F.array("u", "v")).alias("rep")).distinct()
+        found.append(compared(_rest_against_all(large, linked, "node", whole=level == depth), reps, share).select("u", "v"))
+        if level == depth:
+            break
+        # nodes with more than a block beside the leader's links branch
+        rest = large.where("rep != lead").join(linked, ["node", "rep"], "left_anti").groupBy("node").agg(F.count("*").alias("rest")).where(F.col("rest") > BLOCK)
+        grown = _told(large.select("node", "rep"), rest, "node", "rest").join(reps.select("rep", "sig"), "rep")
+        at = lambda j: F.pmod(F.xxhash64("node", F.lit(level), F.lit(j)), F.lit(POSITIONS)).cast("int")  # noqa: B023,E731
+        now = grown.select("rep", F.explode(F.array(*[F.xxhash64("node", at(j), F.element_at("sig", at(j) + 1)) for j in range(branch)])).alias("node"))
+    out = found[0]
+    for f in found[1:]:
+        out = out.unionByName(f)
+    return out.distinct()
 
 
 def _true_links(sets: list[np.ndarray], side: np.ndarray, share: float) -> Iterator[tuple[np.ndarray, np.ndarray]]:
@@ -256,35 +299,42 @@ def _true_links(sets: list[np.ndarray], side: np.ndarray, share: float) -> Itera
 
 
 def links(docs: DataFrame, id_col: str, text_col: str, groups: DataFrame, words: int, share: float) -> DataFrame:
-    """u, v: spanning forests of the true links inside groups (rep, comp)."""
-    sizes = groups.groupBy("comp").agg(F.count("*").alias("size"))
-    own = groups.join(sizes, "comp").select("rep", "comp", "size")
-    own = stored(own)
+    """u, v: true links inside groups (rep, comp) that connect what all true links connect."""
+    sizes = groups.groupBy("comp").agg(F.count("*").alias("size"), F.min("rep").alias("lead"))
+    own = stored(_told(groups, sizes, "comp", "size"))
     texts = docs.select(docs[id_col].cast("long").alias("rep"), docs[text_col].alias("t"))
-    joined = texts.join(F.broadcast(own) if own.count() <= SENT_ROWS else own, "rep").select("comp", "rep", "size", "t")
+    mine = own.select("rep", "comp")
+    joined = texts.join(F.broadcast(mine) if own.count() <= SENT_ROWS else mine, "rep").select("comp", "rep", "t")
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for rows, texts in chunks(batch, 3):
+            for rows, texts in chunks(batch, 2):
                 sets = [s.tobytes() for s in shingle_sets(texts, words)]
-                yield pa.RecordBatch.from_arrays([*[batch.column(k).take(pa.array(rows)) for k in range(3)], pa.array(sets, pa.binary())], names=["comp", "rep", "size", "set"])
+                yield pa.RecordBatch.from_arrays([*[batch.column(k).take(pa.array(rows)) for k in range(2)], pa.array(sets, pa.binary())], names=["comp", "rep", "set"])
 
-    rows = joined.mapInArrow(cut, "comp long, rep long, size long, set binary").where(F.octet_length("set") > 0)
-    rows = rows.select("comp", "rep", "set", F.explode(_blocks(F.col("size"), F.col("rep"), BLOCK)).alias("x"))
-    rows = rows.select("comp", F.col("x.i").alias("i"), F.col("x.j").alias("j"), "rep", F.col("x.side").alias("side"), "set")
-    rows = rows.repartition("comp", "i", "j").sortWithinPartitions("comp", "i", "j", "rep")
+    sets = stored(joined.mapInArrow(cut, "comp long, rep long, set binary").where(F.octet_length("set") > 0))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for t in _groups(batches, 3):
             cut, out = _runs(t, 3), []
-            rep, side = np.asarray(t.column(3)), np.asarray(t.column(4))
+            comp, rep, side = (np.asarray(t.column(k)) for k in (0, 3, 4))
             for lo, hi in zip(cut[:-1].tolist(), cut[1:].tolist()):
                 if hi - lo > 1:
                     sets = [np.frombuffer(v.as_py(), np.uint64) for v in t.column(5).slice(lo, hi - lo)]
-                    out += [(rep[lo + u], rep[lo + v]) for u, v in _forest(hi - lo, _true_links(sets, side[lo:hi], share))]
+                    out += [(rep[lo + u], rep[lo + v], comp[lo]) for u, v in _forest(rep[lo:hi], _true_links(sets, side[lo:hi], share))]
             yield _edges(out)
 
-    return rows.mapInArrow(run, EDGE).where("u != v").distinct()
+    def confirmed(rows: DataFrame) -> DataFrame:
+        rows = rows.join(sets.select("rep", "set"), "rep").select("comp", "i", "j", "rep", "side", "set")
+        return rows.repartition("comp", "i", "j").sortWithinPartitions("comp", "i", "j", "rep").mapInArrow(run, EDGE).where("u != v").withColumnRenamed("node", "comp")
+
+    out = confirmed(own.where(F.col("size") <= BLOCK).select("comp", "rep", F.lit(-1).alias("side"), F.lit(0).alias("i"), F.lit(0).alias("j"))).select("u", "v")
+    large = own.where(F.col("size") > BLOCK)
+    if not large.isEmpty():
+        near = stored(confirmed(_led(large, "comp")))
+        linked = near.select("comp", F.explode(F.array("u", "v")).alias("rep")).distinct()
+        out = out.unionByName(near.select("u", "v")).unionByName(confirmed(_rest_against_all(large, linked, "comp")).select("u", "v"))
+    return out.distinct()
 
 
 def components(edges: DataFrame) -> DataFrame:
@@ -309,19 +359,21 @@ def components(edges: DataFrame) -> DataFrame:
     return star.unionByName(now.select(F.col("v").alias("rep"), F.col("v").alias("comp")).distinct())
 
 
-def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", words: int = 5, share: int = 80, trees: int = 8, small: int = BLOCK, branch: int = 2, depth: int = 2) -> DataFrame:
+def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", words: int = 5, share: int = 80, trees: int = 8, small: int = BLOCK, branch: int = 2, depth: int = 6) -> DataFrame:
     """doc_id, n_shingles, component_id, kept for each row of docs. share: least similarity in percent."""
+    if docs.schema[id_col].dataType.typeName() not in ("byte", "short", "integer", "long"):
+        raise ValueError(f"{id_col} must hold whole numbers")
     sets = stored(sketch(docs, id_col, text_col, words))
     some = sets.where("n > 0 AND doc_id IS NOT NULL")
-    reps = stored(some.groupBy("fp").agg(F.min("doc_id").cast("long").alias("rep"), F.max("n").alias("n"), F.max("sig").alias("sig")))
-    nodes = paths(reps.select("rep", "sig"), trees, small, branch, depth)
-    groups = components(candidates(reps.select("rep", "n", "sig"), nodes, share))
+    reps = stored(some.groupBy("fp").agg(F.min("doc_id").cast("long").alias("rep"), F.max("n").alias("n"), F.max("sig").alias("sig"), F.count("*").alias("copies")))
+    groups = components(search(reps.select("rep", "n", "sig"), share, trees, small, branch, depth))
     # a document of several texts joins the classes of all of them
-    same = some.select("doc_id", "fp").join(reps.select("fp", "rep"), "fp").where("doc_id != rep").select(F.col("doc_id").cast("long").alias("u"), F.col("rep").alias("v"))
+    named = stored(_told(some.select("doc_id", "fp"), reps.select("fp", "rep", "copies"), "fp", "copies").select("doc_id", "fp", "rep"))
+    same = named.where("doc_id != rep").select(F.col("doc_id").cast("long").alias("u"), F.col("rep").alias("v"))
     twice = some.groupBy("doc_id").agg(F.count_distinct("fp").alias("k")).where("k > 1").select(F.col("doc_id").cast("long").alias("u"))
     true = links(docs, id_col, text_col, groups, words, share).unionByName(same.join(twice, "u", "left_semi"))
     final = components(true)
-    out = sets.select("doc_id", "n", "fp").join(reps.select("fp", "rep"), "fp", "left").join(final, "rep", "left")
-    comp = F.coalesce("comp", "rep", F.col("doc_id").cast("long"))
-    comp = F.when((F.col("n") == 0) | F.col("doc_id").isNull(), F.col("doc_id").cast("long")).otherwise(comp)
-    return out.select("doc_id", F.col("n").alias("n_shingles"), comp.alias("component_id"), F.coalesce(comp == F.col("doc_id"), F.lit(True)).alias("kept"))
+    member = reps.select("fp", "n", "copies", "rep").join(final, "rep", "left").select("fp", "copies", F.coalesce("comp", "rep").alias("comp"))
+    linked = _told(some.select("doc_id", "n", "fp"), member, "fp", "copies").select("doc_id", "n", "comp")
+    alone = sets.where("NOT (n > 0 AND doc_id IS NOT NULL)").select("doc_id", "n", F.col("doc_id").cast("long").alias("comp"))
+    return linked.unionByName(alone).select("doc_id", F.col("n").alias("n_shingles"), F.col("comp").alias("component_id"), F.coalesce(F.col("comp") == F.col("doc_id"), F.lit(True)).alias("kept"))

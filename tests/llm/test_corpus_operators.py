@@ -68,8 +68,31 @@ def test_blocks_of_large_nodes_lose_no_link(spark, monkeypatch):
     rng = random.Random(7)
     base = [f"w{i}" for i in range(120)]
     docs = [(i, " ".join(f"x{rng.random()}" if rng.random() < 0.02 else w for w in base)) for i in range(60)]
-    got = neardup.near_duplicates(spark.createDataFrame(docs, "doc_id long, text string"), words=4, small=8, depth=1).collect()
-    assert {r.doc_id: r.component_id for r in got} == brute_components(docs, 4)
+    for depth in (0, 3):
+        got = neardup.near_duplicates(spark.createDataFrame(docs, "doc_id long, text string"), words=4, small=8, depth=depth).collect()
+        assert {r.doc_id: r.component_id for r in got} == brute_components(docs, 4)
+
+
+def test_large_groups_meet_their_leader_first(spark, monkeypatch):
+    """Rows compared in a group of near copies grow with the group, not with its square."""
+    monkeypatch.setattr(neardup, "BLOCK", 16)
+    met = []
+    compared = neardup.compared
+    monkeypatch.setattr(neardup, "compared", lambda rows, *a, **k: met.append(rows.count()) or compared(rows, *a, **k))
+    base = [f"w{i}" for i in range(200)]
+    counts = {}
+    for n in (200, 800):
+        met.clear()
+        docs = [(i, " ".join(f"x{i}" if k == i % 200 else w for k, w in enumerate(base))) for i in range(n)]
+        got = neardup.near_duplicates(spark.createDataFrame(docs, "doc_id long, text string"), words=4, trees=2, small=16).collect()
+        assert {r.component_id for r in got} == {0}
+        counts[n] = sum(met)
+    assert counts[800] < 6 * counts[200]
+
+
+def test_ids_must_be_whole_numbers(spark):
+    with pytest.raises(ValueError, match="whole numbers"):
+        neardup.near_duplicates(spark.createDataFrame([("a", "t")], "doc_id string, text string"))
 
 
 def test_near_duplicates_edges(odd_docs, no_docs):
@@ -287,6 +310,30 @@ def test_vector_search(spark, sf):
     assert hits >= 0.9 * 20 * len(queries)
 
 
+def test_vector_search_over_many_shards(spark):
+    """Seven shards of both lengths' vectors against brute force, in double precision of double columns."""
+    rng = np.random.default_rng(5)
+    centres = rng.normal(size=(40, 12))
+    x = centres[rng.integers(0, 40, 3000)] + 0.4 * rng.normal(size=(3000, 12))
+    x[:, 0] += 1e-9 * np.arange(3000)
+    y = rng.normal(size=(30, 5)) * 1e200
+    rows = [(i, v.tolist()) for i, v in enumerate(x)] + [(10_000 + i, v.tolist()) for i, v in enumerate(y / 1e60)]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    found = collections.defaultdict(dict)
+    for r in hnsw.neighbours(df, is_query="id % 20 = 0", k=20, shards=7).collect():
+        found[r.query_id][r["rank"]] = (r.vec_id, r.score)
+    hits = total = 0
+    for lead, part in ((0, x), (10_000, y / 1e60)):
+        for q in range(0, len(part), 20):
+            s = part @ part[q]
+            want = [i for _, i in sorted((-a, i) for i, a in enumerate(s) if i != q)[:20]]
+            got = [found[lead + q][k + 1] for k in range(20)]
+            assert all(v == pytest.approx(s[i - lead], rel=1e-12) for i, v in got) and [v for _, v in got] == sorted((v for _, v in got), reverse=True)
+            hits += len({i - lead for i, _ in got} & set(want))
+            total += 20
+    assert len(found) == 152 and hits >= 0.9 * total
+
+
 def test_vector_search_edges(spark):
     nan = float("nan")
     rows = [(i, [1.0, 0.5]) for i in range(60)] + [(100, None), (101, [0.0, 0.0]), (102, [nan, 1.0]), (103, [None, 1.0]), (104, [1.0]), (None, [1.0, 1.0]), (105, [2.0, 0.0]), (106, [-1.0, 3.0]), (0, [1.0, 0.5])]
