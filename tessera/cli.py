@@ -64,7 +64,7 @@ def main(argv: list[str] | None = None) -> int:
     p.add_argument("--sites", help="folder of site rules")
     p.add_argument("--key", help="key file")
     p.add_argument("--release", default="v1")
-    p.add_argument("--role", default="curator", choices=sorted(access.ALLOWED))
+    p.add_argument("--role", default=access.LEAST, choices=sorted(access.ALLOWED))
     p.add_argument("--strict", action="store_true")
     p.add_argument("--stratified", action="store_true")
     p.add_argument("--seed", type=int, default=7)
@@ -142,7 +142,8 @@ def main(argv: list[str] | None = None) -> int:
     elif a.command == "summary":
         t = _tables(w)
         access.cohort_summary(t["studies"], t["patients"].withColumnRenamed("pseudo_id", "pseudo_patient_id").select("pseudo_patient_id", "sex"), "pseudo_patient_id", "study_uid", "site_id", "sex").orderBy("site", "sex").show()
-        access.view(t["studies"], a.role, "studies", hidden=("study_date",)).show(5)
+        if "studies" in access.ALLOWED[a.role]:
+            access.view(t["studies"], a.role, "studies", hidden=("study_date",)).show(5)
     return 0
 
 

@@ -76,10 +76,14 @@ def test_audit_chain_sees_every_kind_of_tampering(spark):
 
 def test_roles(spark):
     df = spark.createDataFrame([(1, "secret")], "id long, text string")
-    with pytest.raises(access.AccessDenied, match="curators"):
+    with pytest.raises(access.AccessDenied, match="open to: curator"):
         access.view(df, "modeller", "reports")
+    for table in access.ALLOWED["curator"]:  # an auditor sees no row of any table
+        with pytest.raises(access.AccessDenied):
+            access.view(df, "auditor", table)
     with pytest.raises(access.AccessDenied):
-        access.view(df, "auditor", "labels")
+        access.view(df, "nobody", "labels")
+    assert access.LEAST == "auditor"
     assert access.view(df, "modeller", "studies", hidden=("text",)).columns == ["id"]
 
 
