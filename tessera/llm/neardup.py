@@ -87,19 +87,19 @@ def signatures(sets: list[np.ndarray]) -> np.ndarray:
 
 
 def sketch(docs: DataFrame, id_col: str, text_col: str, words: int) -> DataFrame:
-    """doc_id, n (set size), fp (digest of the set), sig (minwise tokens; null for empty sets)."""
-    schema = T.StructType([T.StructField("doc_id", docs.schema[id_col].dataType)] + T.StructType.fromDDL("n long, fp string, sig array<int>").fields)
+    """doc_id, n (set size), fp (digest of the set), sig (minwise tokens; null for empty sets), mark (their low 16 bits, for comparison)."""
+    schema = T.StructType([T.StructField("doc_id", docs.schema[id_col].dataType)] + T.StructType.fromDDL("n long, fp string, sig array<int>, mark binary").fields)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for rows, texts in chunks(batch, 1):
                 sets = shingle_sets(texts, words)
                 some = [i for i, s in enumerate(sets) if len(s)]
-                sig = [None] * len(sets)
+                sig, mark = [None] * len(sets), [None] * len(sets)
                 if some:
                     for i, s in zip(some, signatures([sets[i] for i in some]).view(np.int32)):
-                        sig[i] = s
-                yield pa.RecordBatch.from_arrays([batch.column(0).take(pa.array(rows)), pa.array([len(s) for s in sets], pa.int64()), pa.array([xxhash.xxh3_128_hexdigest(s.tobytes()) for s in sets]), pa.array(sig, pa.list_(pa.int32()))], names=schema.names)
+                        sig[i], mark[i] = s, s.astype(np.uint16).tobytes()
+                yield pa.RecordBatch.from_arrays([batch.column(0).take(pa.array(rows)), pa.array([len(s) for s in sets], pa.int64()), pa.array([xxhash.xxh3_128_hexdigest(s.tobytes()) for s in sets]), pa.array(sig, pa.list_(pa.int32())), pa.array(mark, pa.binary())], names=schema.names)
 
     return docs.select(docs[id_col].alias("doc_id"), docs[text_col].alias("t")).mapInArrow(run, schema)
 
@@ -225,14 +225,14 @@ def _rest_against_all(rows: DataFrame, linked: DataFrame, key: str, whole: bool
 
 def compared(rows: DataFrame, reps: DataFrame, share: float, key: str = "node") -> DataFrame:
     """u, v, key: a spanning forest of the pairs that may be links in each (key, i, j), across sides where side isn't -1."""
-    rows = rows.join(reps, "rep").select(key, "i", "j", "rep", "side", "n", "sig")
+    rows = rows.join(reps.select("rep", "n", "mark"), "rep").select(key, "i", "j", "rep", "side", "n", "mark")
     rows = rows.repartition(key, "i", "j").sortWithinPartitions(key, "i", "j", "rep")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for t in _groups(batches, 3):
             cut, out = _runs(t, 3), []
             own, rep, side, n = (np.asarray(t.column(k)) for k in (0, 3, 4, 5))
-            sig = np.asarray(t.column(6).combine_chunks().flatten()).reshape(-1, POSITIONS)
+            sig = np.frombuffer(b"".join(t.column(6).to_pylist()), np.uint16).reshape(-1, POSITIONS)
             for lo, hi in zip(cut[:-1], cut[1:]):
                 if hi - lo == 2 and side[lo] < 0:  # most nodes
                     if (sig[lo] == sig[lo + 1]).sum() >= MAYBE * POSITIONS:
@@ -365,8 +365,8 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
         raise ValueError(f"{id_col} must hold whole numbers")
     sets = stored(sketch(docs, id_col, text_col, words))
     some = sets.where("n > 0 AND doc_id IS NOT NULL")
-    reps = stored(some.groupBy("fp").agg(F.min("doc_id").cast("long").alias("rep"), F.max("n").alias("n"), F.max("sig").alias("sig"), F.count("*").alias("copies")))
-    groups = components(search(reps.select("rep", "n", "sig"), share, trees, small, branch, depth))
+    reps = stored(some.groupBy("fp").agg(F.min("doc_id").cast("long").alias("rep"), F.max("n").alias("n"), F.max("sig").alias("sig"), F.max("mark").alias("mark"), F.count("*").alias("copies")))
+    groups = components(search(reps.select("rep", "n", "sig", "mark"), share, trees, small, branch, depth))
     # a document of several texts joins the classes of all of them
     named = stored(_told(some.select("doc_id", "fp"), reps.select("fp", "rep", "copies"), "fp", "copies").select("doc_id", "fp", "rep"))
     same = named.where("doc_id != rep").select(F.col("doc_id").cast("long").alias("u"), F.col("rep").alias("v"))
