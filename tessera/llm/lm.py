@@ -42,7 +42,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ._common import stored
+from ._common import discard, stored
 
 END = b"\n"  # no word holds white space
 SMOOTH = 0.1
@@ -52,7 +52,7 @@ MOST_GROWTH = 8
 #: Each trainer sends its tables' changes once a round, a few MB; it has so many counts at least.
 MOST_TRAINERS = 64
 LEAST_TRAINERS = 8
-TRAINER_ROWS = 2_000_000
+TRAINER_ROWS = 16_000_000
 #: Share of the log ratio of counts that a weight starts with (features overlap), and the pseudo-count of what is expected.
 START = 0.4
 PRIOR = 4.0
@@ -340,9 +340,26 @@ def start(counts: DataFrame, shape: Shape) -> Params:
     return Params(shape, h[order], c[order], word[order], cls, place, (bias - bias.max()).astype(np.float32), word_bias, np.log10(tail_mass), np.zeros((shape.rows, shape.classes), np.float32), np.zeros((shape.rows, shape.width), np.float32), int(total), int(distinct))
 
 
+def _packed(x: np.ndarray) -> pa.Array:
+    """A binary a row of x; of its numbers the lowest bytes first, then the next: high ones are mostly 0 and compress away."""
+    n, k = x.shape
+    data = np.ascontiguousarray(x.view(np.uint8).reshape(n, k, -1).transpose(0, 2, 1))
+    return pa.Array.from_buffers(pa.binary(), n, [None, pa.py_buffer((np.arange(n + 1) * (k * x.itemsize)).astype(np.int32)), pa.py_buffer(data)])
+
+
+def _read_packed(column: pa.Array, kind: type) -> np.ndarray:
+    data = np.frombuffer(b"".join(column.to_pylist()), np.uint8)
+    return np.ascontiguousarray(data.reshape(len(column), np.dtype(kind).itemsize, -1).transpose(0, 2, 1)).view(kind)[:, :, 0]
+
+
+#: Codes of a stored row; a batch of 10,000 rows is 30 MB.
+PACK = 256
+
+
 def trigrams(docs: DataFrame, text_col: str, p: Params, most: int = 4_000_000) -> DataFrame:
-    """code, c: how often each word's symbol occurs after those of the three before. Counts are combined within
-    a task only: most codes are met once, and a second row of a code trains as well as a larger count."""
+    """n, codes, counts: how often each word's symbol occurs after those of the three before, PACK codes a row. Counts are
+    combined within a task only: most codes are met once, and a second row of a code trains as well as a larger count.
+    A row has the differences of sorted codes; rows come mixed, and the last may end with codes of count 0."""
     none = np.zeros((0, 0), np.float32)
     sent = docs.sparkSession.sparkContext.broadcast(Params(**(vars(p) | {"class_rows": none, "word_rows": none})))
 
@@ -352,8 +369,13 @@ def trigrams(docs: DataFrame, text_col: str, p: Params, most: int = 4_000_000) -
         def out() -> pa.RecordBatch:
             code, c = np.unique(np.concatenate(held), return_counts=True)
             held.clear()
-            mixed = np.random.default_rng(len(code)).permutation(len(code))  # batches of one context would train badly
-            return pa.RecordBatch.from_arrays([pa.array(code[mixed]), pa.array(c[mixed].astype(np.int32))], names=["code", "c"])
+            more = -len(code) % PACK
+            code = np.concatenate((code, np.full(more, code[-1]))).reshape(-1, PACK)
+            c = np.concatenate((c, np.zeros(more, c.dtype))).astype(np.int32).reshape(-1, PACK)
+            step = code.copy()
+            step[:, 1:] -= code[:, :-1]
+            mixed = np.random.default_rng(len(code)).permutation(len(code))
+            return pa.RecordBatch.from_arrays([pa.array((c > 0).sum(axis=1)[mixed]), _packed(step[mixed]), _packed(c[mixed])], names=["n", "codes", "counts"])
 
         for batch in batches:
             for _, texts in chunks(batch, 0):
@@ -365,7 +387,16 @@ def trigrams(docs: DataFrame, text_col: str, p: Params, most: int = 4_000_000) -
         if held:
             yield out()
 
-    return docs.select(text_col).mapInArrow(run, "code long, c int")
+    return docs.select(text_col).mapInArrow(run, "n long, codes binary, counts binary")
+
+
+def unpacked(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Codes and counts of each batch, mixed: batches of one context would train badly."""
+    for x in batches:
+        if x.num_rows:
+            code, c = np.cumsum(_read_packed(x.column(1), np.int64), axis=1).ravel(), _read_packed(x.column(2), np.int32).ravel()
+            mixed = np.random.default_rng(len(code)).permutation(np.flatnonzero(c))
+            yield code[mixed], c[mixed]
 
 
 def start_weights(p: Params, met: np.ndarray, cls: np.ndarray, word: np.ndarray, heads: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -386,7 +417,7 @@ def start_counts(p: Params, batches: Iterator[tuple[np.ndarray, np.ndarray]]) ->
     """Sums of counts by feature row: in all, and start_weights' three."""
     s = p.shape
     met, cls_n, word_n, head_n = (np.zeros(s.rows * k, np.float32) for k in (1, s.classes, s.width, s.heads))
-    for code, c in batches:
+    for code, c in ((code[i : i + 65536], c[i : i + 65536]) for code, c in batches for i in range(0, len(code), 65536)):
         f, cls, place = decode(code, p)
         w = c.astype(np.float32)
         own = np.flatnonzero(place >= 0)
@@ -405,17 +436,16 @@ def _pack(at: np.ndarray, *arrays: np.ndarray) -> list[bytes]:
     return [at.astype(np.int32).tobytes(), *[a[at].tobytes() for a in arrays]]
 
 
-def train(grams: DataFrame, p: Params, rounds: int = 1, trainers: int | None = None, blocks: int = 16, batch: int = 2048, rate: float = 1.0) -> Params:
+def train(grams: DataFrame, p: Params, rounds: int = 1, trainers: int | None = None, blocks: int = 16, batch: int = 4096, rate: float = 1.0) -> Params:
     """Starts the weights from the stored codes' counts, then rounds of gradient updates over them; trainers: shares of the codes."""
     spark = grams.sparkSession
-    trainers = trainers or min(max(LEAST_TRAINERS, grams.count() // TRAINER_ROWS), MOST_TRAINERS)
+    trainers = trainers or min(max(LEAST_TRAINERS, (grams.agg(F.sum("n")).first()[0] or 0) // TRAINER_ROWS), MOST_TRAINERS)
     shared, s = grams.coalesce(trainers), p.shape
     per = s.rows // blocks
     sizes = {"c": s.classes, "w": s.width}
     change = "b int, t int, " + ", ".join(f"{x}_{t} binary" for t in "cw" for x in ("at", "n", "d"))
     names = [x.split()[0] for x in change.split(", ")]
     tables = (p.class_rows, p.word_rows)
-    parts = lambda batches: ((np.asarray(x.column(0)), np.asarray(x.column(1))) for x in batches)
     row = lambda b, data, names: pa.RecordBatch.from_arrays([pa.array([b], pa.int32()), pa.array([TaskContext.get().partitionId()], pa.int32()), *[pa.array([d], pa.binary()) for d in data]], names=names)
 
     def take(frame: DataFrame) -> None:
@@ -430,7 +460,7 @@ def train(grams: DataFrame, p: Params, rounds: int = 1, trainers: int | None = N
     sums = ("at", "met", "cls", "word", "heads")
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        found = start_counts(sent.value, parts(batches))
+        found = start_counts(sent.value, unpacked(batches))
         used = (found[0] > 0) | (found[3].sum(axis=1) > 0)
         for b in range(blocks):
             yield row(b, _pack(np.flatnonzero(used[b * per : (b + 1) * per]) + b * per, *found), ["b", "t", *sums])
@@ -459,7 +489,7 @@ def train(grams: DataFrame, p: Params, rounds: int = 1, trainers: int | None = N
             old = sent.value  # noqa: B023
             new = Params(**(vars(old) | {"class_rows": old.class_rows.copy(), "word_rows": old.word_rows.copy()}))
             met = (np.zeros(s.rows, np.float32), np.zeros(s.rows, np.float32))
-            for code, c in parts(batches):
+            for code, c in unpacked(batches):
                 for lo in range(0, len(code), batch):
                     train_batch(new, met, code[lo : lo + batch], c[lo : lo + batch], pace)  # noqa: B023
             for b in range(blocks):
@@ -494,7 +524,9 @@ def score(docs: DataFrame, held_out, id_col: str = "doc_id", text_col: str = "te
     counts = stored(token_counts(learn, "t", (shape or Shape).tails))
     shape = shape or Shape.of(counts.count())
     p = start(counts, shape)
-    p = train(stored(trigrams(learn, "t", p)), p, rounds)
+    grams = stored(trigrams(learn, "t", p))
+    p = train(grams, p, rounds)
+    discard(grams)
     sent = spark.sparkContext.broadcast(p)
     kind = docs.schema[id_col].dataType
     schema = T.StructType([T.StructField("doc_id", kind), T.StructField("held_out", T.BooleanType())] + T.StructType.fromDDL("key long, n_tokens long, n_known long, base double, model double, hs array<long>, ms array<int>").fields)
