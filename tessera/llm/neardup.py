@@ -190,8 +190,7 @@ HOT = 1 / 256
 
 
 def _told(rows: DataFrame, facts: DataFrame, key: str, size: str) -> DataFrame:
-    """rows joined with the facts about their key: those of the few hot keys are broadcast, so no task gets all rows of one."""
-    facts = stored(facts)
+    """rows joined with the facts about their key (a stored table): those of the few hot keys are broadcast, so no task gets all rows of one."""
     least = max((facts.agg(F.sum(size)).first()[0] or 0) * HOT, 2.0)
     hot = facts.where(F.col(size) >= least)
     near = rows.join(F.broadcast(hot), key)
@@ -199,6 +198,16 @@ def _told(rows: DataFrame, facts: DataFrame, key: str, size: str) -> DataFrame:
     return near.unionByName(far)
 
 
+def _known(rows: DataFrame, facts: DataFrame, key: str, size: str) -> DataFrame:
+    """As _told, for facts of large groups: few beside their rows, so all are broadcast up to the counted bound."""
+    return rows.join(F.broadcast(facts), key) if facts.count() <= SENT_ROWS else _told(rows, facts, key, size)
+
+
+def _met(table: DataFrame, rows: DataFrame) -> DataFrame:
+    """table joined by rep with rows (a stored table): up to the counted bound rows are broadcast, and table isn't shuffled."""
+    return table.join(F.broadcast(rows) if rows.count() <= SENT_ROWS else rows, "rep")
+
+
 def _led(rows: DataFrame, key: str) -> DataFrame:
     """Members of large groups (key, rep, size, lead) by block: the leader goes to each, as side 1."""
     many = F.ceil(F.col("size") / BLOCK).cast("int")
@@ -207,26 +216,29 @@ def _led(rows: DataFrame, key: str) -> DataFrame:
     return rows.select(key, "rep", (F.col("rep") == F.col("lead")).cast("int").alias("side"), F.explode(places).alias("i")).withColumn("j", F.lit(0))
 
 
-def _rest_against_all(rows: DataFrame, linked: DataFrame, key: str, whole: bool = True) -> DataFrame:
-    """Members of large groups whose rest isn't empty, by pairs of blocks: side 1 is the rest, side 0 all.
+def _rest(rows: DataFrame, linked: DataFrame, facts: DataFrame, key: str) -> tuple[DataFrame, DataFrame]:
+    """Members of large groups that don't hang together with their leader (key, rep), and the groups that have such (key, size, rest).
 
-    linked: (key, rep) of members that hang together with their leader. Not whole: only groups with a rest of a block.
+    linked: (key, rep) of members that do. facts: key and size of the large groups.
     """
     rest = stored(rows.where("rep != lead").join(linked, [key, "rep"], "left_anti").select(key, "rep"))
-    count = rest.groupBy(key).agg(F.count("*").alias("rest"))
-    facts = rows.where("rep = lead").select(key, "size").join(count if whole else count.where(F.col("rest") <= BLOCK), key)
+    return rest, stored(facts.select(key, "size").join(rest.groupBy(key).agg(F.count("*").alias("rest")), key))
+
+
+def _rest_against_all(rows: DataFrame, rest: DataFrame, facts: DataFrame, key: str) -> DataFrame:
+    """Members of the groups in facts by pairs of blocks: side 1 is the rest, side 0 all."""
     few = F.ceil(F.col("rest") / BLOCK).cast("int")
     many = F.ceil(F.col("size") / BLOCK).cast("int")
     side = lambda n: F.pmod(F.xxhash64("rep"), n).cast("int")
-    every = _told(rows.select(key, "rep"), facts, key, "size").select(key, "rep", F.lit(0).alias("side"), F.explode(F.sequence(F.lit(0), few - 1)).alias("i"), side(many).alias("j"))
-    some = _told(rest, facts, key, "size").select(key, "rep", F.lit(1).alias("side"), side(few).alias("i"), F.explode(F.sequence(F.lit(0), many - 1)).alias("j"))
+    every = _known(rows.select(key, "rep"), facts, key, "size").select(key, "rep", F.lit(0).alias("side"), F.explode(F.sequence(F.lit(0), few - 1)).alias("i"), side(many).alias("j"))
+    some = _known(rest, facts, key, "size").select(key, "rep", F.lit(1).alias("side"), side(few).alias("i"), F.explode(F.sequence(F.lit(0), many - 1)).alias("j"))
     return every.unionByName(some)
 
 
-def compared(rows: DataFrame, reps: DataFrame, share: float, key: str = "node") -> DataFrame:
-    """u, v, key: a spanning forest of the pairs that may be links in each (key, i, j), across sides where side isn't -1."""
-    rows = rows.join(reps.select("rep", "n", "mark"), "rep").select(key, "i", "j", "rep", "side", "n", "mark")
-    rows = rows.repartition(key, "i", "j").sortWithinPartitions(key, "i", "j", "rep")
+def compared(rows: DataFrame, share: float) -> DataFrame:
+    """u, v, node: a spanning forest of the pairs that may be links in each (node, i, j), across sides where side isn't -1. rows have n and mark too."""
+    rows = rows.select("node", "i", "j", "rep", "side", "n", "mark")
+    rows = rows.repartition("node", "i", "j").sortWithinPartitions("node", "i", "j", "rep")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for t in _groups(batches, 3):
@@ -248,27 +260,35 @@ def search(reps: DataFrame, share: float, trees: int, small: int, branch: int, d
     """u, v: pairs that may be links and connect what all such pairs connect, over all trees and levels."""
     seed = F.array(*[F.struct(F.lit(t).alias("t"), F.lit(t * (POSITIONS // trees)).alias("p")) for t in range(trees)])
     now = reps.select("rep", "sig", F.explode(seed).alias("s")).select("rep", F.xxhash64("s.t", F.element_at("sig", F.col("s.p") + 1)).alias("node"))
+    marks = reps.select("rep", "n", "mark")
     found: list[DataFrame] = []
+    waiting = None  # rests to be compared with all; they go along with the next level's nodes
     for level in range(depth + 1):
         now = stored(now)
-        sizes = now.groupBy("node").agg(F.count("*").alias("size"), F.min("rep").alias("lead")).where("size > 1")
+        sizes = stored(now.groupBy("node").agg(F.count("*").alias("size"), F.min("rep").alias("lead")).where("size > 1"))
         now = stored(_told(now, sizes, "node", "size"))
+        large, big = now.where(F.col("size") > small), sizes.where(F.col("size") > small)
         alone = now.where(F.col("size") <= small).select("node", "rep", F.lit(-1).alias("side"), F.lit(0).alias("i"), F.lit(0).alias("j"))
-        found.append(compared(alone, reps, share).select("u", "v"))
-        large = now.where(F.col("size") > small)
-        if large.isEmpty():
-            break
-        near = stored(compared(_led(large, "node"), reps, share))
+        rows = alone.unionByName(_led(large, "node"))
+        if level:  # few beside all representatives
+            rows = _met(marks, stored(rows.unionByName(waiting)))
+        else:
+            rows = rows.join(marks, "rep")
+        near, waiting = stored(compared(rows, share)), None
         found.append(near.select("u", "v"))
+        if big.isEmpty():
+            break
         linked = near.select("node", F.explode(F.array("u", "v")).alias("rep")).distinct()
-        found.append(compared(_rest_against_all(large, linked, "node", whole=level == depth), reps, share).select("u", "v"))
-        if level == depth:
+        rest, facts = _rest(large, linked, big, "node")
+        more = facts.where((F.col("rest") > BLOCK) & F.lit(level < depth))  # these branch, at the last level none
+        waiting = _rest_against_all(large, rest, facts.where((F.col("rest") <= BLOCK) | F.lit(level == depth)), "node")
+        if more.isEmpty():
             break
-        # nodes with more than a block beside the leader's links branch
-        rest = large.where("rep != lead").join(linked, ["node", "rep"], "left_anti").groupBy("node").agg(F.count("*").alias("rest")).where(F.col("rest") > BLOCK)
-        grown = _told(large.select("node", "rep"), rest, "node", "rest").join(reps.select("rep", "sig"), "rep")
+        grown = _met(reps.select("rep", "sig"), stored(_known(large.select("node", "rep"), more, "node", "rest").select("node", "rep")))
         at = lambda j: F.pmod(F.xxhash64("node", F.lit(level), F.lit(j)), F.lit(POSITIONS)).cast("int")  # noqa: B023,E731
         now = grown.select("rep", F.explode(F.array(*[F.xxhash64("node", at(j), F.element_at("sig", at(j) + 1)) for j in range(branch)])).alias("node"))
+    if waiting is not None:
+        found.append(compared(_met(marks, stored(waiting)), share).select("u", "v"))
     out = found[0]
     for f in found[1:]:
         out = out.unionByName(f)
@@ -300,7 +320,7 @@ def _true_links(sets: list[np.ndarray], side: np.ndarray, share: float) -> Itera
 
 def links(docs: DataFrame, id_col: str, text_col: str, groups: DataFrame, words: int, share: float) -> DataFrame:
     """u, v: true links inside groups (rep, comp) that connect what all true links connect."""
-    sizes = groups.groupBy("comp").agg(F.count("*").alias("size"), F.min("rep").alias("lead"))
+    sizes = stored(groups.groupBy("comp").agg(F.count("*").alias("size"), F.min("rep").alias("lead")))
     own = stored(_told(groups, sizes, "comp", "size"))
     texts = docs.select(docs[id_col].cast("long").alias("rep"), docs[text_col].alias("t"))
     mine = own.select("rep", "comp")
@@ -325,15 +345,18 @@ def links(docs: DataFrame, id_col: str, text_col: str, groups: DataFrame, words:
             yield _edges(out)
 
     def confirmed(rows: DataFrame) -> DataFrame:
-        rows = rows.join(sets.select("rep", "set"), "rep").select("comp", "i", "j", "rep", "side", "set")
+        rows = _met(sets.select("rep", "set"), stored(rows)).select("comp", "i", "j", "rep", "side", "set")
         return rows.repartition("comp", "i", "j").sortWithinPartitions("comp", "i", "j", "rep").mapInArrow(run, EDGE).where("u != v").withColumnRenamed("node", "comp")
 
-    out = confirmed(own.where(F.col("size") <= BLOCK).select("comp", "rep", F.lit(-1).alias("side"), F.lit(0).alias("i"), F.lit(0).alias("j"))).select("u", "v")
-    large = own.where(F.col("size") > BLOCK)
-    if not large.isEmpty():
-        near = stored(confirmed(_led(large, "comp")))
+    small, large = own.where(F.col("size") <= BLOCK), own.where(F.col("size") > BLOCK)
+    alone = small.select("comp", "rep", F.lit(-1).alias("side"), F.lit(0).alias("i"), F.lit(0).alias("j"))
+    near = stored(confirmed(alone.unionByName(_led(large, "comp"))))
+    out, big = near.select("u", "v"), sizes.where(F.col("size") > BLOCK)
+    if not big.isEmpty():
         linked = near.select("comp", F.explode(F.array("u", "v")).alias("rep")).distinct()
-        out = out.unionByName(near.select("u", "v")).unionByName(confirmed(_rest_against_all(large, linked, "comp")).select("u", "v"))
+        rest, facts = _rest(large, linked, big, "comp")
+        if not facts.isEmpty():
+            out = out.unionByName(confirmed(_rest_against_all(large, rest, facts, "comp")).select("u", "v"))
     return out.distinct()
 
 
@@ -373,7 +396,7 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     twice = some.groupBy("doc_id").agg(F.count_distinct("fp").alias("k")).where("k > 1").select(F.col("doc_id").cast("long").alias("u"))
     true = links(docs, id_col, text_col, groups, words, share).unionByName(same.join(twice, "u", "left_semi"))
     final = components(true)
-    member = reps.select("fp", "n", "copies", "rep").join(final, "rep", "left").select("fp", "copies", F.coalesce("comp", "rep").alias("comp"))
+    member = stored(reps.select("fp", "copies", "rep").join(final, "rep", "left").select("fp", "copies", F.coalesce("comp", "rep").alias("comp")))
     linked = _told(some.select("doc_id", "n", "fp"), member, "fp", "copies").select("doc_id", "n", "comp")
     alone = sets.where("NOT (n > 0 AND doc_id IS NOT NULL)").select("doc_id", "n", F.col("doc_id").cast("long").alias("comp"))
     return linked.unionByName(alone).select("doc_id", F.col("n").alias("n_shingles"), F.col("comp").alias("component_id"), F.coalesce(F.col("comp") == F.col("doc_id"), F.lit(True)).alias("kept"))
