@@ -45,6 +45,12 @@ def test_literals_after_the_first_300_characters(spark, tables):
     assert got[0].endswith("[ID]. Orchids") and got[10].endswith("[ID] [ID], end")
 
 
+def test_a_word_before_a_line_end_is_no_whole_token(spark, tables):
+    """SQL's full match takes `other` here, not the word with its line end."""
+    got = [r.scrubbed for r in catalogue.QUERIES["text_scrub_literals"](spark, tables(documents=docs("word\n other word, Other"))).collect()]
+    assert got == ["word\n [ID] word, [ID]"]
+
+
 def test_placeholders_after_the_first_80_characters(spark, tables):
     got = [r.normal for r in catalogue.QUERIES["placeholder_normalise"](spark, tables(documents=docs(FAR + "XXXX, XXXX. XXXX  end"))).collect()]
     assert got == ["XXXX " + FAR + "XXXX end"]
