@@ -26,16 +26,16 @@ which counts a trainer gets, and so the last digits of `score`, follows from how
 
 from __future__ import annotations
 
-import itertools
 import math
 import zlib
-from collections import Counter, defaultdict
+from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
@@ -49,10 +49,11 @@ SMOOTH = 0.1
 #: Distinct words for which Shape's own sizes are meant, and how far they grow.
 GROWS_FROM = 400_000
 MOST_GROWTH = 8
-#: Each trainer sends its tables' changes once a round, a few MB; it has so many counts at least.
+#: Each trainer sends its tables' sums once and their changes once a round, some 40 MB whatever its share of the counts: so their
+#: number follows the counts, above a few that small inputs need to use more than one core.
 MOST_TRAINERS = 64
-LEAST_TRAINERS = 8
-TRAINER_ROWS = 16_000_000
+LEAST_TRAINERS = 4
+TRAINER_ROWS = 13_000_000
 #: Share of the log ratio of counts that a weight starts with (features overlap), and the pseudo-count of what is expected.
 START = 0.4
 PRIOR = 4.0
@@ -65,6 +66,18 @@ def word_hash(w: bytes) -> int:
     return h - (1 << 64) if h >= 1 << 63 else h
 
 
+def word_hashes(words: list[bytes]) -> np.ndarray:
+    """word_hash of each."""
+    digest = xxhash.xxh64_intdigest
+    return np.array([digest(w) for w in words], np.uint64).view(np.int64)
+
+
+def suffix_codes(words: pa.Array, size: int, most: int) -> np.ndarray:
+    """crc32 of each word's last bytes, below most."""
+    ends = pc.binary_slice(words, -size).dictionary_encode()
+    return np.array([zlib.crc32(w) % most for w in ends.dictionary.to_pylist()], np.int64)[ends.indices.to_numpy()]
+
+
 def chunks(batch: pa.RecordBatch, col: int, most: int = 1 << 21) -> Iterator[tuple[list[int], list[bytes | None]]]:
     """Row numbers and lower-cased UTF-8 texts of a batch, about `most` bytes at a time."""
     rows, texts, size = [], [], 0
@@ -143,30 +156,30 @@ class Params:
 
 def read_chunk(texts: list[bytes], p: Params) -> dict[str, np.ndarray]:
     """Tokens of texts as local ids, by local id its hash, count and symbol, and by token the code of the symbols before and its own."""
-    ids: defaultdict = defaultdict(itertools.count().__next__)
-    flat, n = [ids[END]], []
-    for t in texts:
-        words = t.split()
-        n.append(len(words) + 1)
-        flat += [ids[w] for w in words]
-        flat.append(0)
     s = p.shape
-    flat = np.array(flat[1:], np.int32)
-    h = np.array([word_hash(w) for w in ids], np.int64)
+    parts = pc.ascii_split_whitespace(pa.array(texts, pa.large_binary()).view(pa.large_string()))  # the white space of bytes.split()
+    words = parts.flatten().view(pa.large_binary()).dictionary_encode()
+    ids, text = words.indices.to_numpy(), np.repeat(np.arange(len(texts)), np.diff(parts.offsets.to_numpy()))
+    blank = words.dictionary.index(b"").as_py()  # found at the ends of texts
+    if blank >= 0:
+        keep = np.flatnonzero(ids != blank)
+        ids, text = ids[keep], text[keep]
+    words = pa.concat_arrays([pa.array([END], pa.large_binary()), words.dictionary])
+    n = np.bincount(text, minlength=len(texts)) + 1
+    ends = np.cumsum(n)
+    inner = np.ones(len(ids) + len(texts), bool)
+    inner[ends - 1] = False
+    flat = np.zeros(len(inner), np.int32)
+    flat[inner] = ids + 1
+    h = word_hashes(words.to_pylist())
     if len(p.hashes):
         at = np.minimum(np.searchsorted(p.hashes, h), len(p.hashes) - 1)
         found = p.hashes[at] == h
         count, voc = np.where(found, p.counts[at], -1), np.where(found, p.word[at], -1)
     else:
         count = voc = np.full(len(h), -1)
-    sym, context = voc.astype(np.int64), voc.astype(np.int64)
-    words = list(ids)
-    rare = np.flatnonzero((voc < 0) | (voc >= s.vocab))
-    sym[rare] = [s.vocab + zlib.crc32(words[i][-2:]) % s.tails for i in rare.tolist()]
-    rare = np.flatnonzero(voc < 0)
-    context[rare] = [s.contexts + zlib.crc32(words[i][-3:]) % s.suffixes for i in rare.tolist()]
-    n = np.array(n)
-    ends = np.cumsum(n)
+    sym = np.where((voc < 0) | (voc >= s.vocab), s.vocab + suffix_codes(words, 2, s.tails), voc)
+    context = np.where(voc < 0, s.contexts + suffix_codes(words, 3, s.suffixes), voc)
     y, around = sym[flat], context[flat]
     pos = np.arange(len(flat)) - np.repeat(ends - n, n)
     none = s.contexts + s.suffixes  # start symbols: none right before the text, none + 1 further before
@@ -198,59 +211,89 @@ def _exp_rows(z: np.ndarray) -> np.ndarray:
     if len(z) and z.max() > 60:
         z -= z.max(axis=1, keepdims=True)
     np.exp(z, out=z)
-    return z.sum(axis=1)
+    return z @ np.ones(z.shape[1], z.dtype)
+
+
+def _room(name: str, n: int, width: int, held: dict[str, np.ndarray] = {}) -> np.ndarray:  # noqa: B006
+    """Space for n rows, used again by the next call of that name: new pages for every batch cost more than the sums in them."""
+    if name not in held or held[name].size < n * width:
+        held[name] = np.empty(n * width + n * width // 8, np.float32)
+    return held[name][: n * width].reshape(n, width)
 
 
 def _sum_rows(table: np.ndarray, f: np.ndarray, bias: np.ndarray) -> np.ndarray:
-    z = table.take(f[:, 0], 0)
-    for k in range(1, f.shape[1]):
-        z += table.take(f[:, k], 0)
+    """Sums of the rows f (k, n) of table, and the bias; good until the next call."""
+    z, part = _room("z", f.shape[1], table.shape[1]), _room("part", f.shape[1], table.shape[1])
+    np.take(table, f[0], 0, out=z, mode="clip")
+    for own in f[1:]:
+        z += np.take(table, own, 0, out=part, mode="clip")
     z += bias
     return z
 
 
-def _sum_runs(x: np.ndarray, start: np.ndarray, n: np.ndarray) -> np.ndarray:
-    """Sums of runs of rows of x, in place: by halves, as adding whole rows at once is faster than a running sum."""
-    at = np.arange(len(x)) - np.repeat(start, n)
-    left = np.repeat(n, n) - at
-    step = 1
-    most = n.max() if len(n) else 0
-    while step < most:
-        i = np.flatnonzero((at % (2 * step) == 0) & (left > step))
-        x[i] += x.take(i + step, 0)
-        step *= 2
-    return x.take(start, 0)
-
-
-def _step(table: np.ndarray, met: np.ndarray, f: np.ndarray, g: np.ndarray, w: np.ndarray, rate: float, calm: float) -> None:
-    """Moves the rows f of table against gradients g of weights w, by their mean in the batch, less where a row is rarely met there and the more it was met before."""
-    for k in range(f.shape[1]):
-        order = np.argsort(f[:, k], kind="stable")
-        rows = f[order, k]
-        start = np.flatnonzero(np.append(True, rows[1:] != rows[:-1]))
-        own, n = rows[start], np.add.reduceat(w[order], start)
-        total = _sum_runs(g.take(order, 0), start, np.diff(np.append(start, len(rows))))
-        met[own] += n
-        total *= (-rate / (n + calm + SETTLE * met[own]))[:, None]
-        total += table.take(own, 0)
-        table[own] = total
+#: Members of a run that are summed one at a time, over all runs at once; the others are summed run by run.
+RUN = 32
+
+
+def _runs(f: np.ndarray) -> tuple[np.ndarray, ...]:
+    """Of feature rows (n, k): the examples ordered by feature row, the distinct rows by falling number of examples, where each one's
+    run begins, how long it is, and by feature and example the place among the distinct rows. A run of more than 65,535 counts as one of these."""
+    flat = f.T.ravel()
+    order = np.argsort(flat, kind="stable")
+    rows = flat[order]
+    start = np.flatnonzero(np.append(True, rows[1:] != rows[:-1]))
+    n = np.diff(np.append(start, len(rows)))
+    lead = np.argsort((65535 - np.minimum(n, 65535)).astype(np.uint16), kind="stable")
+    place = np.empty(len(lead), np.intp)
+    place[lead] = np.arange(len(lead))
+    inverse = np.empty(len(flat), np.intp)
+    inverse[order] = np.repeat(place, n)
+    return order % len(f), rows[start[lead]], start[lead], n[lead], inverse.reshape(f.shape[1], -1)
+
+
+def _sum_runs(x: np.ndarray, order: np.ndarray, start: np.ndarray, n: np.ndarray) -> np.ndarray:
+    """Sums of the rows of x that each run names, runs by falling length."""
+    longer = np.searchsorted(-n, -np.arange(RUN + 1), "left")
+    out, part = _room("runs", len(n), x.shape[1]), _room("part", max(len(n), len(order)), x.shape[1])
+    np.take(x, order[start], 0, out=out, mode="clip")
+    for j in range(1, RUN):
+        m = longer[j]
+        if not m:
+            break
+        out[:m] += np.take(x, order[start[:m] + j], 0, out=part[:m], mode="clip")
+    for i in range(longer[RUN]):
+        out[i] += np.take(x, order[start[i] + RUN : start[i] + n[i]], 0, out=part[: n[i] - RUN], mode="clip").sum(axis=0)
+    return out
+
 
+def _step(table: np.ndarray, met: np.ndarray, f: np.ndarray, bias: np.ndarray, own: np.ndarray, w: np.ndarray, rate: float, calm: float, block: int = 1024) -> None:
+    """Moves the rows f of table against the gradients of examples of weights w whose columns own are right, by their mean in the
+    batch, less where a row is rarely met there and the more it was met before. A row is read and written once."""
+    order, at, start, n, place = _runs(f)
+    old = np.take(table, at, 0, out=_room("old", len(at), table.shape[1]), mode="clip")
+    g = _sum_rows(old, place, bias)
+    g *= (w / _exp_rows(g))[:, None]
+    g[np.arange(len(own)), own] -= w
+    total, seen = _sum_runs(g, order, start, n), np.bincount(place.ravel(), np.tile(w, len(place)), len(at)).astype(np.float32)
+    met[at] += seen
+    pace = (-rate / (seen + calm + SETTLE * met[at]))[:, None]
+    whole = np.dtype((np.void, table.shape[1] * table.itemsize))  # a row as one value: moved at once
+    rows = table.view(whole).ravel()
+    for lo in range(0, len(at), block):
+        part = total[lo : lo + block]
+        part *= pace[lo : lo + block]
+        part += old[lo : lo + block]
+        np.put(rows, at[lo : lo + block], part.view(whole))
 
-def train_batch(p: Params, met: tuple[np.ndarray, np.ndarray], code: np.ndarray, count: np.ndarray, rate: float, calm: float = 4.0) -> None:
-    def gradient(z: np.ndarray, own: np.ndarray, w: np.ndarray) -> np.ndarray:
-        z *= (w / _exp_rows(z))[:, None]
-        z[np.arange(len(own)), own] -= w
-        return z
 
+def train_batch(p: Params, met: tuple[np.ndarray, np.ndarray], code: np.ndarray, count: np.ndarray, rate: float, calm: float = 4.0) -> None:
     f, cls, place = decode(code, p)
     w = count.astype(np.float32)
-    g = gradient(_sum_rows(p.class_rows, f, p.class_bias), cls, w)
     own = np.flatnonzero(place >= 0)
     if len(own):
-        wf = word_features(f[own], cls[own], p.shape.rows)
-        gw = gradient(_sum_rows(p.word_rows, wf, p.word_bias.take(cls[own], 0)), place[own], w[own])
-        _step(p.word_rows, met[1], wf, gw, w[own], rate, calm)
-    _step(p.class_rows, met[0], f, g, w, rate, calm)
+        c = cls[own]
+        _step(p.word_rows, met[1], word_features(f[own], c, p.shape.rows), p.word_bias.take(c, 0), place[own], w[own], rate, calm)
+    _step(p.class_rows, met[0], f, p.class_bias, cls, w, rate, calm)
 
 
 def log_probs(p: Params, code: np.ndarray, batch: int = 2048) -> np.ndarray:
@@ -263,11 +306,11 @@ def log_probs(p: Params, code: np.ndarray, batch: int = 2048) -> np.ndarray:
     out = np.empty(len(code))
     for lo in range(0, len(code), batch):
         f, cls, place = decode(code[lo : lo + batch], p)
-        part = chance(_sum_rows(p.class_rows, f, p.class_bias), cls)
+        part = chance(_sum_rows(p.class_rows, f.T, p.class_bias), cls)
         own = np.flatnonzero(place >= 0)
         if len(own):
             wf = word_features(f[own], cls[own], p.shape.rows)
-            part[own] += chance(_sum_rows(p.word_rows, wf, p.word_bias.take(cls[own], 0)), place[own])
+            part[own] += chance(_sum_rows(p.word_rows, wf.T, p.word_bias.take(cls[own], 0)), place[own])
         out[lo : lo + batch] = part
     return out
 
@@ -280,7 +323,7 @@ def token_counts(docs: DataFrame, text_col: str, tails: int = Shape.tails) -> Da
         held: Counter = Counter()
 
         def out() -> pa.RecordBatch:
-            got = pa.RecordBatch.from_arrays([pa.array([word_hash(w) for w in held], pa.int64()), pa.array([zlib.crc32(w[-2:]) % tails for w in held], pa.int32()), pa.array(list(held.values()), pa.int64())], names=["h", "tail", "c"])
+            got = pa.RecordBatch.from_arrays([pa.array(word_hashes(list(held))), pa.array([zlib.crc32(w[-2:]) % tails for w in held], pa.int32()), pa.array(list(held.values()), pa.int64())], names=["h", "tail", "c"])
             held.clear()
             return got
 
@@ -348,7 +391,9 @@ def _packed(x: np.ndarray) -> pa.Array:
 
 
 def _read_packed(column: pa.Array, kind: type) -> np.ndarray:
-    data = np.frombuffer(b"".join(column.to_pylist()), np.uint8)
+    column = column.cast(pa.binary())
+    at = np.frombuffer(column.buffers()[1], np.int32)[column.offset : column.offset + len(column) + 1]
+    data = np.frombuffer(column.buffers()[2], np.uint8)[at[0] : at[-1]]
     return np.ascontiguousarray(data.reshape(len(column), np.dtype(kind).itemsize, -1).transpose(0, 2, 1)).view(kind)[:, :, 0]
 
 
@@ -366,16 +411,20 @@ def trigrams(docs: DataFrame, text_col: str, p: Params, most: int = 4_000_000) -
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         p, held, size = sent.value, [], 0
 
-        def out() -> pa.RecordBatch:
-            code, c = np.unique(np.concatenate(held), return_counts=True)
+        def out() -> Iterator[pa.RecordBatch]:
+            code = np.concatenate(held)
             held.clear()
-            more = -len(code) % PACK
-            code = np.concatenate((code, np.full(more, code[-1]))).reshape(-1, PACK)
-            c = np.concatenate((c, np.zeros(more, c.dtype))).astype(np.int32).reshape(-1, PACK)
-            step = code.copy()
-            step[:, 1:] -= code[:, :-1]
+            code.sort()
+            first = np.flatnonzero(np.append(True, code[1:] != code[:-1]))
+            more = -len(first) % PACK
+            c = np.append(np.diff(first, append=len(code)).astype(np.int32), np.zeros(more, np.int32)).reshape(-1, PACK)
+            code = np.append(code[first], np.full(more, code[-1])).reshape(-1, PACK)
+            del first
             mixed = np.random.default_rng(len(code)).permutation(len(code))
-            return pa.RecordBatch.from_arrays([pa.array((c > 0).sum(axis=1)[mixed]), _packed(step[mixed]), _packed(c[mixed])], names=["n", "codes", "counts"])
+            for own in np.split(mixed, range(2048, len(mixed), 2048)):  # little is copied at once
+                step, n = code[own], c[own]
+                step[:, 1:] -= code[own, :-1]
+                yield pa.RecordBatch.from_arrays([pa.array((n > 0).sum(axis=1)), _packed(step), _packed(n)], names=["n", "codes", "counts"])
 
         for batch in batches:
             for _, texts in chunks(batch, 0):
@@ -383,9 +432,10 @@ def trigrams(docs: DataFrame, text_col: str, p: Params, most: int = 4_000_000) -
                 size += len(held[-1])
                 if size > most:
                     size = 0
-                    yield out()
+                    yield from out()
         if held:
-            yield out()
+            yield from out()
+        pa.default_memory_pool().release_unused()  # the worker lives on
 
     return docs.select(text_col).mapInArrow(run, "n long, codes binary, counts binary")
 
@@ -395,8 +445,10 @@ def unpacked(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[np.ndarray, np
     for x in batches:
         if x.num_rows:
             code, c = np.cumsum(_read_packed(x.column(1), np.int64), axis=1).ravel(), _read_packed(x.column(2), np.int32).ravel()
-            mixed = np.random.default_rng(len(code)).permutation(np.flatnonzero(c))
-            yield code[mixed], c[mixed]
+            mixed = np.random.default_rng(len(code)).permutation(np.flatnonzero(c).astype(np.int32))
+            for lo in range(0, len(mixed), 1 << 18):
+                own = mixed[lo : lo + (1 << 18)]
+                yield code[own], c[own]
 
 
 def start_weights(p: Params, met: np.ndarray, cls: np.ndarray, word: np.ndarray, heads: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -436,10 +488,14 @@ def _pack(at: np.ndarray, *arrays: np.ndarray) -> list[bytes]:
     return [at.astype(np.int32).tobytes(), *[a[at].tobytes() for a in arrays]]
 
 
+def trainers_for(counts: int) -> int:
+    return min(max(LEAST_TRAINERS, counts // TRAINER_ROWS), MOST_TRAINERS)
+
+
 def train(grams: DataFrame, p: Params, rounds: int = 1, trainers: int | None = None, blocks: int = 16, batch: int = 4096, rate: float = 1.0) -> Params:
     """Starts the weights from the stored codes' counts, then rounds of gradient updates over them; trainers: shares of the codes."""
     spark = grams.sparkSession
-    trainers = trainers or min(max(LEAST_TRAINERS, (grams.agg(F.sum("n")).first()[0] or 0) // TRAINER_ROWS), MOST_TRAINERS)
+    trainers = trainers or trainers_for(grams.agg(F.sum("n")).first()[0] or 0)
     shared, s = grams.coalesce(trainers), p.shape
     per = s.rows // blocks
     sizes = {"c": s.classes, "w": s.width}
