@@ -10,6 +10,7 @@ from tessera.functions import identity
 from tessera.functions.text import first_nonempty, strip
 
 DUMMY = "ANONYMISED"
+NOT_LETTERS = r"[^\p{L}]+"
 
 
 def dropped_group(group: Column) -> Column:
@@ -92,10 +93,21 @@ def leftovers(elements: DataFrame, must_be_empty: list[str], needed: dict[str, s
 def substring_hits(values: DataFrame, text: str, literals: DataFrame, literal: str, least: int = 5, most: int = 20_000) -> DataFrame:
     """values joined with every literal of `least` or more characters that its text contains, whatever the case.
 
-    A theta join: literals are broadcast after a count that proves them few; more raise.
+    A literal with a whole word inside (other characters than letters on both sides) can only be in texts with that
+    word, so its longest one is joined first; texts are searched for the others one by one. Literals are broadcast after
+    a count that proves them few; more raise.
     """
     own = literals.select(F.upper(literal).alias("_lit")).where(F.length("_lit") >= least).distinct()
     n = own.count()
     if n > most:
         raise ValueError(f"{n} literals; {most} can be broadcast. Cut them into parts")
-    return values.join(F.broadcast(own), F.contains(F.upper(text), F.col("_lit"))).withColumnRenamed("_lit", "literal")
+    words = F.split("_lit", NOT_LETTERS)
+    inside = F.slice(words, F.lit(2), F.greatest(F.size(words) - 2, F.lit(0)))
+    longest = F.array_max(F.transform(inside, lambda w: F.struct(F.length(w).alias("n"), w.alias("w"))))["w"]
+    own = own.select("_lit", F.nullif(longest, F.lit("")).alias("_word"))
+    rows = values.withColumn("_upper", F.upper(text))
+    found = F.contains(F.col("_upper"), F.col("_lit"))
+    by_word = rows.withColumn("_w", F.explode(F.array_distinct(F.split("_upper", NOT_LETTERS)))).join(F.broadcast(own.where("_word IS NOT NULL")), F.col("_w") == F.col("_word")).where(found)
+    others = rows.join(F.broadcast(own.where("_word IS NULL")), found)
+    out = [*values.columns, F.col("_lit").alias("literal")]
+    return by_word.select(*out).unionByName(others.select(*out))

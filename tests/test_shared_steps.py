@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from tessera import vocab
 from tessera.functions import text as tx
+from tessera.operators import deid
 from tessera.plans import catalogue
 
 
@@ -56,3 +57,14 @@ def test_states_equal_a_search_of_every_sentence(spark):
                     yield i, f, any(said)
 
     assert {tuple(r) for r in got} == set(brute())
+
+
+def test_literals_are_joined_by_a_word_inside(spark):
+    """Equal to a search of every text for every literal, odd ones included, without meeting every text."""
+    texts = ["see Dr. Ann-Marie Oak, ward 7", "DR. ANN-MARIE OAKS", "anne marie oak", "x12345y", "straße am see weg", "STRASSE AM SEE WEG", "(alpha) beta", "alphabeta", "a b c d", "a b c d", "", None]
+    lits = ["Ann-Marie Oak", "12345", "straße am see", "(alpha) ", "alpha", "A B C", "Marie", ". Ann-", "oak", "b c d", None]
+    values = spark.createDataFrame(list(enumerate(texts)), "i long, t string")
+    df = deid.substring_hits(values, "t", spark.createDataFrame([(x,) for x in lits], "v string"), "v")
+    want = sorted((i, x.upper()) for i, t in enumerate(texts) for x in lits if t and x and len(x.upper()) >= 5 and x.upper() in t.upper())
+    assert sorted((r.i, r.literal) for r in df.collect()) == want and len(want) == 17
+    assert df.columns == ["i", "t", "literal"] and "BroadcastHashJoin" in df._jdf.queryExecution().executedPlan().toString()
