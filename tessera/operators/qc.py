@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tessera import vocab
@@ -22,15 +22,14 @@ def orphans(child: DataFrame, key: str, parent: DataFrame, parent_key: str) -> D
 def duplicate_digests(df: DataFrame, digest: str, example: str, most: int = 5) -> DataFrame:
     """digest, n, examples: contents held more than once, with their first names.
 
-    Examples are the least names by repeated minima, so no group is collected.
+    A window that stops at the first ranks leaves a task of the input `most` names of a digest at most, so a large group
+    is neither collected nor sent to one task.
     """
-    counts = df.groupBy(F.col(digest).alias("digest")).agg(F.count("*").alias("n"), F.min(example).alias("e")).where("n > 1")
-    found = counts.select("digest", "n", F.array("e").alias("examples"))
-    for _ in range(most - 1):
-        after = df.join(found.select("digest", F.element_at("examples", -1).alias("_last")), F.col(digest) == F.col("digest")).where(F.col(example) > F.col("_last"))
-        nxt = after.groupBy("digest").agg(F.min(example).alias("e"))
-        found = found.join(nxt, "digest", "left").select("digest", "n", F.when(F.col("e").isNotNull(), F.concat("examples", F.array("e"))).otherwise(F.col("examples")).alias("examples"))
-    return found
+    rows = df.select(F.struct(F.col(digest).alias("digest")).alias("_k"), F.col(example).alias("_e"))  # in a struct null meets null
+    counts = rows.groupBy("_k").agg(F.count("*").alias("n")).where("n > 1")
+    least = rows.where("_e IS NOT NULL").withColumn("_r", F.row_number().over(Window.partitionBy("_k").orderBy("_e"))).where(F.col("_r") <= most)
+    examples = least.groupBy("_k").agg(F.array_sort(F.collect_list("_e")).alias("examples"))
+    return counts.join(examples, "_k", "left").select("_k.digest", "n", F.coalesce("examples", F.array()).alias("examples"))
 
 
 def missing(df: DataFrame, tests: dict[str, Column]) -> DataFrame:

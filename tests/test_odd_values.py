@@ -14,3 +14,15 @@ def test_spread_over_a_least_value_of_zero(spark, tmp_path):
     got = order(tuple(r) for r in catalogue.QUERIES["benchmark_stats"](spark, str(tmp_path)).collect())
     assert got == order(con.execute(catalogue.ORACLES["benchmark_stats"]).fetchall())
     assert "('a', 1.5, 0.0, 3.0, inf, False)" in got and "('b', 0.0, 0.0, 0.0, nan, False)" in got
+
+
+def test_duplicates_of_no_text_and_of_repeated_names(spark, tmp_path):
+    rows = [(i, t) for i, t in enumerate([None, "a", None, "b", None, "a", None, None, None, "c"])] + [(1, "a"), (9, "a")]
+    spark.createDataFrame(rows, "doc_id long, text string").repartition(3).write.parquet(f"{tmp_path}/documents.parquet")
+    con = duckdb.connect()
+    con.execute(f"CREATE VIEW documents AS SELECT * FROM '{tmp_path}/documents.parquet/*.parquet'")
+    df = catalogue.QUERIES["qc_duplicate_digest"](spark, str(tmp_path))
+    got = {r.digest: (r.n, r.examples) for r in df.collect()}
+    assert got == {d: (n, e) for d, n, e in con.execute(catalogue.ORACLES["qc_duplicate_digest"]).fetchall()}
+    assert got[None] == (6, [0, 2, 4, 6, 7]) and len(got) == 2
+    assert df._jdf.queryExecution().optimizedPlan().toString().count("Relation") <= 2  # before, five reads and four joins
