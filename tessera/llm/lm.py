@@ -171,9 +171,10 @@ def read_chunk(texts: list[bytes], p: Params) -> dict[str, np.ndarray]:
     inner[ends - 1] = False
     flat = np.zeros(len(inner), np.int32)
     flat[inner] = ids + 1
-    h = word_hashes(words.to_pylist())
+    h = word_hashes(words.to_numpy(zero_copy_only=False).tolist())  # to_pylist() takes ten times as long
     if len(p.hashes):
-        at = np.minimum(np.searchsorted(p.hashes, h), len(p.hashes) - 1)
+        order, at = np.argsort(h), np.empty(len(h), np.intp)
+        at[order] = np.minimum(np.searchsorted(p.hashes, h[order]), len(p.hashes) - 1)  # in order, for the cache
         found = p.hashes[at] == h
         count, voc = np.where(found, p.counts[at], -1), np.where(found, p.word[at], -1)
     else:
@@ -185,7 +186,10 @@ def read_chunk(texts: list[bytes], p: Params) -> dict[str, np.ndarray]:
     none = s.contexts + s.suffixes  # start symbols: none right before the text, none + 1 further before
     code = np.zeros(len(flat), np.int64)
     for k in (3, 1, 2):
-        code = code << s.context_bits | np.where(pos >= k, np.roll(around, k), none + np.minimum(k - pos - 1, 1))
+        lead, before = np.flatnonzero(pos < k), np.roll(around, k)
+        before[lead] = none + np.minimum(k - pos[lead] - 1, 1)
+        code <<= s.context_bits
+        code |= before
     return {"n": n, "ends": ends, "h": h, "flat": flat, "count": count, "y": y, "code": code << s.word_bits | y}
 
 
@@ -440,11 +444,14 @@ def trigrams(docs: DataFrame, text_col: str, p: Params, most: int = 4_000_000) -
     return docs.select(text_col).mapInArrow(run, "n long, codes binary, counts binary")
 
 
-def unpacked(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-    """Codes and counts of each batch, mixed: batches of one context would train badly."""
+def unpacked(batches: Iterator[pa.RecordBatch], mix: bool = True) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Codes and counts of each batch, mixed for training: batches of one context would train badly. Sums are faster in order."""
     for x in batches:
         if x.num_rows:
             code, c = np.cumsum(_read_packed(x.column(1), np.int64), axis=1).ravel(), _read_packed(x.column(2), np.int32).ravel()
+            if not mix:
+                yield code, c  # a count of 0 adds nothing
+                continue
             mixed = np.random.default_rng(len(code)).permutation(np.flatnonzero(c).astype(np.int32))
             for lo in range(0, len(mixed), 1 << 18):
                 own = mixed[lo : lo + (1 << 18)]
@@ -516,7 +523,7 @@ def train(grams: DataFrame, p: Params, rounds: int = 1, trainers: int | None = N
     sums = ("at", "met", "cls", "word", "heads")
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        found = start_counts(sent.value, unpacked(batches))
+        found = start_counts(sent.value, unpacked(batches, mix=False))
         used = (found[0] > 0) | (found[3].sum(axis=1) > 0)
         for b in range(blocks):
             yield row(b, _pack(np.flatnonzero(used[b * per : (b + 1) * per]) + b * per, *found), ["b", "t", *sums])
@@ -596,7 +603,7 @@ def score(docs: DataFrame, held_out, id_col: str = "doc_id", text_col: str = "te
                 x = read_chunk(texts, p)
                 count = x["count"][x["flat"]]
                 known = count > 0
-                gain = np.where(known, np.log10(np.maximum(count, 0) + SMOOTH), 0.0)
+                gain = np.where(x["count"] > 0, np.log10(np.maximum(x["count"], 0) + SMOOTH), 0.0)[x["flat"]]
                 code, place = np.unique(x["code"], return_inverse=True)
                 rare = x["y"] >= p.shape.vocab
                 model = (log_probs(p, code) / math.log(10))[place] + np.where(rare, gain - p.tail_mass[np.maximum(x["y"] - p.shape.vocab, 0)], 0.0)
