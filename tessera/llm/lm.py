@@ -29,7 +29,7 @@ from __future__ import annotations
 import math
 import zlib
 from collections import Counter
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
@@ -66,16 +66,68 @@ def word_hash(w: bytes) -> int:
     return h - (1 << 64) if h >= 1 << 63 else h
 
 
-def word_hashes(words: list[bytes]) -> np.ndarray:
+def _bytes(words: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Where each word of a large_binary array begins, its length, and all bytes."""
+    at = np.frombuffer(words.buffers()[1], np.int64)[words.offset : words.offset + len(words) + 1]
+    data = words.buffers()[2]
+    return at[:-1], np.diff(at), np.frombuffer(data, np.uint8) if data else np.zeros(0, np.uint8)
+
+
+def _xxh64_short(at: np.ndarray, n: np.ndarray, data: np.ndarray) -> np.ndarray:
+    """xxh64 of words of less than 32 bytes, all at once: calls for single words took most of the time to read a text."""
+    one, two, three, four, five = (np.uint64(x) for x in (0x9E3779B185EBCA87, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0x85EBCA77C2B2AE63, 0x27D4EB2F165667C5))
+    turn = lambda x, k: x << np.uint64(k) | x >> np.uint64(64 - k)
+    h = n.astype(np.uint64) + five
+
+    def stir(own: np.ndarray, where: np.ndarray, size: int, mix: Callable, k: int, by: np.uint64, plus: np.uint64) -> None:
+        """For the words own: takes in the size bytes at where."""
+        if len(own):
+            lanes = np.ndarray(len(data) - size + 1, f"<u{size}", data, strides=(1,))
+            h[own] = turn(h[own] ^ mix(lanes[where].astype(np.uint64)), k) * by + plus
+
+    for lane in range(0, 24, 8):
+        own = np.flatnonzero(n >= lane + 8)
+        stir(own, at[own] + lane, 8, lambda x: turn(x * two, 31) * one, 27, one, four)
+    own = np.flatnonzero(n & 4)
+    stir(own, at[own] + (n[own] & ~7), 4, lambda x: x * one, 23, two, three)
+    for j in range(3):
+        own = np.flatnonzero((n & 3) > j)
+        stir(own, at[own] + (n[own] & ~3) + j, 1, lambda x: x * five, 11, one, np.uint64(0))
+    h = (h ^ h >> np.uint64(33)) * two
+    h = (h ^ h >> np.uint64(29)) * three
+    return h ^ h >> np.uint64(32)
+
+
+def word_hashes(words: list[bytes] | pa.Array) -> np.ndarray:
     """word_hash of each."""
-    digest = xxhash.xxh64_intdigest
-    return np.array([digest(w) for w in words], np.uint64).view(np.int64)
+    if not isinstance(words, pa.Array):
+        words = pa.array(words, pa.large_binary())
+    at, n, data = _bytes(words)
+    h, long = np.empty(len(n), np.uint64), n >= 32
+    if long.any():
+        own = np.flatnonzero(long)
+        h[own] = [xxhash.xxh64_intdigest(data[i : i + k]) for i, k in zip(at[own].tolist(), n[own].tolist())]
+        own = np.flatnonzero(~long)
+        h[own] = _xxh64_short(at[own], n[own], data)
+    else:
+        h = _xxh64_short(at, n, data)
+    return h.view(np.int64)
+
+
+#: Of crc32: what a byte adds.
+CRC = np.arange(256, dtype=np.uint32)
+for _ in range(8):
+    CRC = CRC >> np.uint32(1) ^ (CRC & np.uint32(1)) * np.uint32(0xEDB88320)
 
 
 def suffix_codes(words: pa.Array, size: int, most: int) -> np.ndarray:
     """crc32 of each word's last bytes, below most."""
-    ends = pc.binary_slice(words, -size).dictionary_encode()
-    return np.array([zlib.crc32(w) % most for w in ends.dictionary.to_pylist()], np.int64)[ends.indices.to_numpy()]
+    at, n, data = _bytes(words)
+    crc = np.full(len(n), 0xFFFFFFFF, np.uint32)
+    for back in range(size, 0, -1):
+        own = np.flatnonzero(n >= back)
+        crc[own] = CRC[crc[own] & np.uint32(255) ^ data[at[own] + n[own] - back]] ^ crc[own] >> np.uint32(8)
+    return (~crc).astype(np.int64) % most
 
 
 def chunks(batch: pa.RecordBatch, col: int, most: int = 1 << 21) -> Iterator[tuple[list[int], list[bytes | None]]]:
@@ -152,15 +204,21 @@ class Params:
     word_rows: np.ndarray
     total: int
     distinct: int
+    power: bool = False  # rows and biases hold exponentials
+
+
+def split_words(texts: list[bytes]) -> tuple[np.ndarray, pa.DictionaryArray]:
+    """How many pieces each text falls into at the white space of bytes.split(), and the pieces; those at the ends may be empty."""
+    parts = pc.ascii_split_whitespace(pa.array(texts, pa.large_binary()).view(pa.large_string()))
+    return np.diff(parts.offsets.to_numpy()), parts.flatten().view(pa.large_binary()).dictionary_encode()
 
 
 def read_chunk(texts: list[bytes], p: Params) -> dict[str, np.ndarray]:
     """Tokens of texts as local ids, by local id its hash, count and symbol, and by token the code of the symbols before and its own."""
     s = p.shape
-    parts = pc.ascii_split_whitespace(pa.array(texts, pa.large_binary()).view(pa.large_string()))  # the white space of bytes.split()
-    words = parts.flatten().view(pa.large_binary()).dictionary_encode()
-    ids, text = words.indices.to_numpy(), np.repeat(np.arange(len(texts)), np.diff(parts.offsets.to_numpy()))
-    blank = words.dictionary.index(b"").as_py()  # found at the ends of texts
+    pieces, words = split_words(texts)
+    ids, text = words.indices.to_numpy(), np.repeat(np.arange(len(texts)), pieces)
+    blank = words.dictionary.index(b"").as_py()
     if blank >= 0:
         keep = np.flatnonzero(ids != blank)
         ids, text = ids[keep], text[keep]
@@ -171,7 +229,7 @@ def read_chunk(texts: list[bytes], p: Params) -> dict[str, np.ndarray]:
     inner[ends - 1] = False
     flat = np.zeros(len(inner), np.int32)
     flat[inner] = ids + 1
-    h = word_hashes(words.to_numpy(zero_copy_only=False).tolist())  # to_pylist() takes ten times as long
+    h = word_hashes(words)
     if len(p.hashes):
         order, at = np.argsort(h), np.empty(len(h), np.intp)
         at[order] = np.minimum(np.searchsorted(p.hashes, h[order]), len(p.hashes) - 1)  # in order, for the cache
@@ -225,34 +283,32 @@ def _room(name: str, n: int, width: int, held: dict[str, np.ndarray] = {}) -> np
     return held[name][: n * width].reshape(n, width)
 
 
-def _sum_rows(table: np.ndarray, f: np.ndarray, bias: np.ndarray) -> np.ndarray:
-    """Sums of the rows f (k, n) of table, and the bias; good until the next call."""
+def _sum_rows(table: np.ndarray, f: np.ndarray, bias: np.ndarray, join: np.ufunc = np.add) -> np.ndarray:
+    """Sums (or products) of the rows f (k, n) of table, and the bias; good until the next call."""
     z, part = _room("z", f.shape[1], table.shape[1]), _room("part", f.shape[1], table.shape[1])
     np.take(table, f[0], 0, out=z, mode="clip")
     for own in f[1:]:
-        z += np.take(table, own, 0, out=part, mode="clip")
-    z += bias
-    return z
+        join(z, np.take(table, own, 0, out=part, mode="clip"), out=z)
+    return join(z, bias, out=z)
 
 
 #: Members of a run that are summed one at a time, over all runs at once; the others are summed run by run.
 RUN = 32
 
 
-def _runs(f: np.ndarray) -> tuple[np.ndarray, ...]:
+def _runs(f: np.ndarray, w: np.ndarray) -> tuple[np.ndarray, ...]:
     """Of feature rows (n, k): the examples ordered by feature row, the distinct rows by falling number of examples, where each one's
-    run begins, how long it is, and by feature and example the place among the distinct rows. A run of more than 65,535 counts as one of these."""
+    run begins, how long it is, and the weight of its examples. A run of more than 65,535 counts as one of these."""
     flat = f.T.ravel()
     order = np.argsort(flat, kind="stable")
     rows = flat[order]
     start = np.flatnonzero(np.append(True, rows[1:] != rows[:-1]))
     n = np.diff(np.append(start, len(rows)))
+    order %= len(f)
+    seen = np.add.reduceat(w[order], start)
     lead = np.argsort((65535 - np.minimum(n, 65535)).astype(np.uint16), kind="stable")
-    place = np.empty(len(lead), np.intp)
-    place[lead] = np.arange(len(lead))
-    inverse = np.empty(len(flat), np.intp)
-    inverse[order] = np.repeat(place, n)
-    return order % len(f), rows[start[lead]], start[lead], n[lead], inverse.reshape(f.shape[1], -1)
+    start = start[lead]
+    return order, rows[start].astype(np.intp), start, n[lead], seen[lead]
 
 
 def _sum_runs(x: np.ndarray, order: np.ndarray, start: np.ndarray, n: np.ndarray) -> np.ndarray:
@@ -270,52 +326,73 @@ def _sum_runs(x: np.ndarray, order: np.ndarray, start: np.ndarray, n: np.ndarray
     return out
 
 
-def _step(table: np.ndarray, met: np.ndarray, f: np.ndarray, bias: np.ndarray, own: np.ndarray, w: np.ndarray, rate: float, calm: float, block: int = 1024) -> None:
+def _step(table: np.ndarray, met: np.ndarray, f: np.ndarray, bias: np.ndarray, own: np.ndarray, w: np.ndarray, rate: float, calm: float, block: int = 512) -> None:
     """Moves the rows f of table against the gradients of examples of weights w whose columns own are right, by their mean in the
-    batch, less where a row is rarely met there and the more it was met before. A row is read and written once."""
-    order, at, start, n, place = _runs(f)
-    old = np.take(table, at, 0, out=_room("old", len(at), table.shape[1]), mode="clip")
-    g = _sum_rows(old, place, bias)
+    batch, less where a row is rarely met there and the more it was met before. A row is written once."""
+    order, at, start, n, seen = _runs(f, w)
+    g = _sum_rows(table, np.ascontiguousarray(f.T), bias)
     g *= (w / _exp_rows(g))[:, None]
     g[np.arange(len(own)), own] -= w
-    total, seen = _sum_runs(g, order, start, n), np.bincount(place.ravel(), np.tile(w, len(place)), len(at)).astype(np.float32)
+    total = _sum_runs(g, order, start, n)
     met[at] += seen
     pace = (-rate / (seen + calm + SETTLE * met[at]))[:, None]
     whole = np.dtype((np.void, table.shape[1] * table.itemsize))  # a row as one value: moved at once
     rows = table.view(whole).ravel()
     for lo in range(0, len(at), block):
+        x = at[lo : lo + block]
         part = total[lo : lo + block]
         part *= pace[lo : lo + block]
-        part += old[lo : lo + block]
-        np.put(rows, at[lo : lo + block], part.view(whole))
+        part += np.take(table, x, 0, out=_room("old", len(x), table.shape[1]), mode="clip")
+        np.put(rows, x, part.view(whole))
 
 
-def train_batch(p: Params, met: tuple[np.ndarray, np.ndarray], code: np.ndarray, count: np.ndarray, rate: float, calm: float = 4.0) -> None:
+def train_codes(p: Params, met: tuple[np.ndarray, np.ndarray], code: np.ndarray, count: np.ndarray, rate: float, calm: float = 4.0, batch: int = 4096) -> None:
     f, cls, place = decode(code, p)
-    w = count.astype(np.float32)
-    own = np.flatnonzero(place >= 0)
-    if len(own):
-        c = cls[own]
-        _step(p.word_rows, met[1], word_features(f[own], c, p.shape.rows), p.word_bias.take(c, 0), place[own], w[own], rate, calm)
-    _step(p.class_rows, met[0], f, p.class_bias, cls, w, rate, calm)
+    wf, w = word_features(f, cls, p.shape.rows), count.astype(np.float32)
+    for lo in range(0, len(code), batch):
+        x = slice(lo, lo + batch)
+        own = np.flatnonzero(place[x] >= 0) + lo
+        if len(own):
+            _step(p.word_rows, met[1], wf[own], p.word_bias.take(cls[own], 0), place[own], w[own], rate, calm)
+        _step(p.class_rows, met[0], f[x], p.class_bias, cls[x], w[x], rate, calm)
+
+
+#: Largest sum of weights whose exponentials are multiplied: all products stay well within float32.
+LARGEST = 60.0
+
+
+def powers(p: Params) -> Params:
+    """p for log_probs, with the exponentials of rows and biases, so that none are taken for each example; p itself if weights are too large."""
+    most = lambda rows, bias, k: k * np.abs(rows).max(initial=0) + np.abs(bias[np.isfinite(bias)]).max(initial=0)
+    if not max(most(p.class_rows, p.class_bias, 4), most(p.word_rows, p.word_bias, 2)) <= LARGEST:
+        return p
+    return Params(**(vars(p) | {k: np.exp(getattr(p, k)) for k in ("class_rows", "class_bias", "word_rows", "word_bias")} | {"power": True}))
 
 
-def log_probs(p: Params, code: np.ndarray, batch: int = 2048) -> np.ndarray:
-    """Natural log of the chance of class and place of each code's own symbol."""
+def log_probs(p: Params, code: np.ndarray, most: int = 1 << 16, batch: int = 512) -> np.ndarray:
+    """Natural log of the chance of class and place of each code's own symbol. A batch's sums stay in a core's cache."""
+    join = np.multiply if p.power else np.add
 
-    def chance(z: np.ndarray, own: np.ndarray) -> np.ndarray:
-        total = _exp_rows(z)
-        return np.log(np.maximum(z[np.arange(len(own)), own], np.finfo(np.float32).tiny)).astype(np.float64) - np.log(total)
+    def chance(table: np.ndarray, f: np.ndarray, bias: np.ndarray, by: np.ndarray | None, own: np.ndarray) -> np.ndarray:
+        """by: each example's row of bias."""
+        right, total = np.empty((2, len(own)), np.float32)
+        f, ones = np.ascontiguousarray(f.T), np.ones(table.shape[1], np.float32)
+        for lo in range(0, len(own), batch):
+            x = slice(lo, lo + batch)
+            z = _sum_rows(table, f[:, x], bias if by is None else bias.take(by[x], 0), join)
+            total[x] = z @ ones if p.power else _exp_rows(z)
+            right[x] = z[np.arange(len(z)), own[x]]
+        return np.log(np.maximum(right, np.finfo(np.float32).tiny)).astype(np.float64) - np.log(total)
 
     out = np.empty(len(code))
-    for lo in range(0, len(code), batch):
-        f, cls, place = decode(code[lo : lo + batch], p)
-        part = chance(_sum_rows(p.class_rows, f.T, p.class_bias), cls)
+    for lo in range(0, len(code), most):
+        f, cls, place = decode(code[lo : lo + most], p)
+        part = chance(p.class_rows, f, p.class_bias, None, cls)
         own = np.flatnonzero(place >= 0)
         if len(own):
-            wf = word_features(f[own], cls[own], p.shape.rows)
-            part[own] += chance(_sum_rows(p.word_rows, wf.T, p.word_bias.take(cls[own], 0)), place[own])
-        out[lo : lo + batch] = part
+            c = cls[own]
+            part[own] += chance(p.word_rows, word_features(f[own], c, p.shape.rows), p.word_bias, c, place[own])
+        out[lo : lo + most] = part
     return out
 
 
@@ -324,21 +401,28 @@ def token_counts(docs: DataFrame, text_col: str, tails: int = Shape.tails) -> Da
     schema = "h long, tail int, c long"
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: Counter = Counter()
+        words, counts, size = [], [], 0  # of each chunk
 
         def out() -> pa.RecordBatch:
-            got = pa.RecordBatch.from_arrays([pa.array(word_hashes(list(held))), pa.array([zlib.crc32(w[-2:]) % tails for w in held], pa.int32()), pa.array(list(held.values()), pa.int64())], names=["h", "tail", "c"])
-            held.clear()
-            return got
+            found, n = pa.concat_arrays(words).dictionary_encode(), np.concatenate(counts)
+            words.clear()
+            counts.clear()
+            n, found = np.bincount(found.indices.to_numpy(), n).astype(np.int64), found.dictionary
+            own = np.flatnonzero(n)
+            return pa.RecordBatch.from_arrays([pa.array(word_hashes(found)[own]), pa.array(suffix_codes(found, 2, tails)[own], pa.int32()), pa.array(n[own])], names=["h", "tail", "c"])
 
         for batch in batches:
-            for _, texts in chunks(batch, 0):
-                for t in texts:
-                    held.update(t.split())
-                held[END] += len(texts)
-                if len(held) > 400_000:
+            for _, texts in chunks(batch, 0, 1 << 22):
+                found = split_words(texts)[1]
+                n = np.bincount(found.indices.to_numpy(), minlength=len(found.dictionary))
+                n[np.flatnonzero(_bytes(found.dictionary)[1] == 0)] = 0  # no word
+                words += [pa.array([END], pa.large_binary()), found.dictionary]
+                counts += [[len(texts)], n]
+                size += len(n)
+                if size > 1_000_000:
+                    size = 0
                     yield out()
-        if held:
+        if words:
             yield out()
 
     return docs.select(text_col).mapInArrow(run, schema).groupBy("h").agg(F.max("tail").alias("tail"), F.sum("c").alias("c"))
@@ -553,8 +637,7 @@ def train(grams: DataFrame, p: Params, rounds: int = 1, trainers: int | None = N
             new = Params(**(vars(old) | {"class_rows": old.class_rows.copy(), "word_rows": old.word_rows.copy()}))
             met = (np.zeros(s.rows, np.float32), np.zeros(s.rows, np.float32))
             for code, c in unpacked(batches):
-                for lo in range(0, len(code), batch):
-                    train_batch(new, met, code[lo : lo + batch], c[lo : lo + batch], pace)  # noqa: B023
+                train_codes(new, met, code, c, pace, batch=batch)  # noqa: B023
             for b in range(blocks):
                 data = []
                 for after, before, n in ((new.class_rows, old.class_rows, met[0]), (new.word_rows, old.word_rows, met[1])):
@@ -590,7 +673,7 @@ def score(docs: DataFrame, held_out, id_col: str = "doc_id", text_col: str = "te
     grams = stored(trigrams(learn, "t", p))
     p = train(grams, p, rounds)
     discard(grams)
-    sent = spark.sparkContext.broadcast(p)
+    sent = spark.sparkContext.broadcast(powers(p))
     kind = docs.schema[id_col].dataType
     schema = T.StructType([T.StructField("doc_id", kind), T.StructField("held_out", T.BooleanType())] + T.StructType.fromDDL("key long, n_tokens long, n_known long, base double, model double, hs array<long>, ms array<int>").fields)
 

@@ -1,8 +1,10 @@
 """Inner steps of the language model against plain loops."""
 
+import collections
 import zlib
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from tessera.llm import lm
@@ -69,3 +71,43 @@ def test_packed_rows_are_read_back():
     x = np.random.default_rng(1).integers(0, 1 << 60, (7, 5))
     assert (lm._read_packed(lm._packed(x), np.int64) == x).all()
     assert (lm._read_packed(lm._packed(x).slice(2, 3), np.int64) == x[2:5]).all()
+
+
+def test_short_words_are_hashed_at_once(monkeypatch):
+    """Hashes and suffix codes equal those of single words at every length, also in a slice; only words from 32 bytes on are hashed singly."""
+    r = np.random.default_rng(2)
+    words = [r.bytes(n) for n in [*range(70), *range(40)]]
+    want = [lm.word_hash(w) for w in words]
+    at = pa.array(words, pa.large_binary())
+    assert lm.word_hashes(words).tolist() == want and lm.word_hashes(at[5:90]).tolist() == want[5:90] and not len(lm.word_hashes([]))
+    for k in (2, 3):
+        assert lm.suffix_codes(at[5:90], k, 97).tolist() == [zlib.crc32(w[-k:]) % 97 for w in words[5:90]]
+    single, digest = [], lm.xxhash.xxh64_intdigest
+    monkeypatch.setattr(lm.xxhash, "xxh64_intdigest", lambda w: single.append(len(w)) or digest(w))
+    lm.read_chunk([b" ".join(w.hex().encode() for w in words)], params(SHAPE))
+    assert min(single) >= 32
+
+
+@pytest.mark.parametrize("scale, spared", [(1, True), (20, False)])
+def test_scores_take_no_exponentials(monkeypatch, scale, spared):
+    """Products of the rows' exponentials give the scores of the rows' sums, over several batches; large weights keep their sums."""
+    p = params(SHAPE)
+    p.class_rows *= scale
+    s, r = SHAPE, np.random.default_rng(7)
+    around = r.integers(0, s.contexts + s.suffixes + 2, (3, 300))
+    code = ((around[0] << s.context_bits | around[1]) << s.context_bits | around[2]) << s.word_bits | r.integers(0, s.vocab + s.tails, 300)
+    want, kept = lm.log_probs(p, code), {k: v.copy() for k, v in vars(p).items() if isinstance(v, np.ndarray)}
+    fast = lm.powers(p)
+    assert fast.power == spared and all((getattr(p, k) == v).all() for k, v in kept.items())
+    if spared:
+        monkeypatch.setattr(lm, "_exp_rows", None)
+    assert lm.log_probs(fast, code, most=128, batch=50) == pytest.approx(want, abs=1e-5)
+
+
+def test_counts_of_tokens(spark):
+    """Against a plain count, with all white space, empty and null texts, and words of many chunks."""
+    texts = [None, "", " ", "a  B\tb\x0bc\x1cd", "\n a\r\n", "é É ß", *[f"w{i} w{i % 7} {'x' * (i % 50)}" for i in range(300)]]
+    want = collections.Counter(w for t in texts for w in [*(t or "").encode().lower().split(), lm.END])
+    got = lm.token_counts(spark.createDataFrame([(t,) for t in texts], "text string"), "text", 11).collect()
+    assert {r["h"]: (r["tail"], r["c"]) for r in got} == {lm.word_hash(w): (zlib.crc32(w[-2:]) % 11, n) for w, n in want.items()}
+    assert len(got) == len(want)
